@@ -51,29 +51,34 @@ SKILLS = (
     ("Statistiques", r"\bstatisti"),
 )
 
-_BOUNDARY = rf"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
+def _spell_boundaries(p: str, lead: str, trail: str) -> str:
+    """Replace each ``\\b``: at the start of an alternative it precedes a word
+    character (``lead``), anywhere else it follows one (``trail``)."""
+    out, i = [], 0
+    while i < len(p):
+        if p.startswith(r"\b", i):
+            out.append(lead if i == 0 or p[i - 1] == "|" else trail)
+            i += 2
+        else:
+            out.append(p[i])
+            i += 1
+    return "".join(out)
 
 
 def java_pattern(p: str) -> str:
-    """The pattern with ``\\b`` spelled out as Python's Unicode word boundary."""
-    return p.replace(r"\b", _BOUNDARY)
+    """The pattern with ``\\b`` spelled as Python's Unicode word boundary.
+
+    Every boundary in the dictionary sits next to a word character, so it
+    reduces to one look-behind (before a word) or one look-ahead (after one).
+    """
+    return _spell_boundaries(p, rf"(?<![{WORD}])", rf"(?![{WORD}])")
 
 
 def sql_pattern(p: str) -> str:
     """The same test for engines without look-around (RE2): a leading ``\\b``
     consumes a non-word character or the start, a trailing one a non-word
     character or the end.  ``(?!script)`` is implied by the boundary."""
-    p = p.replace("(?!script)", "")
-    out, i = [], 0
-    while i < len(p):
-        if p.startswith(r"\b", i):
-            lead = i == 0 or p[i - 1] == "|"
-            out.append(rf"(^|[^{WORD}])" if lead else rf"([^{WORD}]|$)")
-            i += 2
-        else:
-            out.append(p[i])
-            i += 1
-    return "".join(out)
+    return _spell_boundaries(p.replace("(?!script)", ""), rf"(^|[^{WORD}])", rf"([^{WORD}]|$)")
 
 
 def extract_skills(text: Column) -> Column:
