@@ -40,22 +40,30 @@ def detect_period(text: Column) -> Column:
     return out
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a lambda binding)."""
+    return F.transform(F.array(value), body)[0]
+
+
 def parse_salary_fr(text: Column) -> Column:
     """Free text -> struct<min double, max double, period string> or null.
 
     Needs a period; every amount is read, spaces and dots dropped, the comma
-    is the decimal point, amounts under 100 are ignored.
+    is the decimal point, amounts under 100 are ignored.  Intermediate values
+    are bound once so the regexes run once per row.
     """
-    t = F.translate(text, SPECIAL_SPACES, " " * len(SPECIAL_SPACES))
-    period = detect_period(t)
-    raw = F.regexp_extract_all(t, F.lit(AMOUNT_RE), 0)
-    nums = F.transform(raw, lambda x: F.translate(F.regexp_replace(x, r"[ .]", ""), ",", ".")
-                       .try_cast("double"))
-    kept = F.filter(nums, lambda v: v.isNotNull() & (v >= MIN_AMOUNT))
-    ok = text.isNotNull() & (text != "") & period.isNotNull() & (F.size(kept) > 0)
-    return F.when(ok, F.struct(F.array_min(kept).alias("min"),
-                               F.array_max(kept).alias("max"),
-                               period.alias("period")))
+    def from_text(t: Column) -> Column:
+        raw = F.regexp_extract_all(t, F.lit(AMOUNT_RE), 0)
+        nums = F.transform(raw, lambda x: F.translate(F.regexp_replace(x, r"[ .]", ""), ",", ".")
+                           .try_cast("double"))
+        kept = F.filter(nums, lambda v: v.isNotNull() & (v >= MIN_AMOUNT))
+        return let(F.struct(detect_period(t).alias("period"), kept.alias("kept")), lambda r: F.when(
+            r["period"].isNotNull() & (F.size(r["kept"]) > 0),
+            F.struct(F.array_min(r["kept"]).alias("min"), F.array_max(r["kept"]).alias("max"),
+                     r["period"].alias("period"))))
+
+    cleaned = F.translate(text, SPECIAL_SPACES, " " * len(SPECIAL_SPACES))
+    return F.when(text.isNotNull() & (text != ""), let(cleaned, from_text))
 
 
 def to_number(v: Column) -> Column:
@@ -82,11 +90,14 @@ def annualize(min_v: Column, max_v: Column, period: Column, currency: Column) ->
     mult = F.create_map(*[x for k, m in ANNUAL_MULT.items() for x in (F.lit(k), F.lit(float(m)))])[period]
     rate = F.when(currency == "USD", F.lit(USD_EUR)).otherwise(F.lit(1.0))
     factor = rate * mult
-    a = _annual_bound(min_v, factor)
-    b = _annual_bound(max_v, factor)
-    lo = F.when(mult.isNotNull(), F.coalesce(a, b))
-    hi = F.when(mult.isNotNull(), F.coalesce(b, a))
-    return F.struct(lo.alias("lo"), hi.alias("hi"))
+
+    def pick(r: Column) -> Column:
+        a, b = r["a"], r["b"]
+        ok = r["f"].isNotNull()
+        return F.struct(F.when(ok, F.coalesce(a, b)).alias("lo"), F.when(ok, F.coalesce(b, a)).alias("hi"))
+
+    return let(F.struct(_annual_bound(min_v, factor).alias("a"), _annual_bound(max_v, factor).alias("b"),
+                        factor.alias("f")), pick)
 
 
 def repair_bounds(lo: Column, hi: Column) -> Column:
@@ -107,3 +118,16 @@ def reject_reason(raw: Column, parsed: Column, annual_lo: Column) -> Column:
     """Reason a non-empty salary text did not yield an annual amount, or null."""
     bad = raw.isNotNull() & (raw != "") & annual_lo.isNull()
     return F.when(bad, F.when(parsed.isNull(), F.lit(REASON_UNPARSED)).otherwise(F.lit(REASON_IMPLAUSIBLE)))
+
+
+def salary_from_text(text: Column, currency: Column | str = "EUR") -> Column:
+    """Free text -> struct<parsed, lo, hi, reason>: parse, annualise and the
+    reject reason in one binding (the text is parsed once per row)."""
+    cur = currency if isinstance(currency, Column) else F.lit(currency)
+
+    def finish(p: Column) -> Column:
+        a = annualize(p["min"], p["max"], p["period"], cur)
+        return let(a, lambda r: F.struct(p.alias("parsed"), r["lo"].alias("lo"), r["hi"].alias("hi"),
+                                         reject_reason(text, p, r["lo"]).alias("reason")))
+
+    return let(parse_salary_fr(text), finish)

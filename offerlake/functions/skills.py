@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from offerlake.functions.salary import let
 from offerlake.functions.text import WORD, fold_accents
 
 # Fixed values: (label, pattern) pairs, matched against the accent-folded,
@@ -81,8 +85,30 @@ def sql_pattern(p: str) -> str:
     return _spell_boundaries(p.replace("(?!script)", ""), rf"(^|[^{WORD}])", rf"([^{WORD}]|$)")
 
 
+def needles(p: str) -> list[str]:
+    """Literal substrings one of which any match of ``p`` must contain.
+
+    Rule: drop boundaries and look-arounds, split into alternatives, keep the
+    longest literal run of each (``power ?bi`` -> ``power``).
+    """
+    core = re.sub(r"\(\?<?[!=][^)]*\)", "", p).replace(r"\b", "")
+    if core.startswith("(") and core.endswith(")") and core.count("(") == 1:
+        core = core[1:-1]
+    alts = re.split(r"\|", core.replace("(", "").replace(")", ""))
+    return [max(re.split(r".\?", a), key=len) for a in alts]
+
+
 def extract_skills(text: Column) -> Column:
-    """Labels whose pattern occurs in the folded text, dictionary order; [] for null/empty."""
-    norm = fold_accents(F.coalesce(text, F.lit("")))
-    hits = F.array(*[F.when(norm.rlike(java_pattern(p)), F.lit(label)) for label, p in SKILLS])
-    return F.filter(hits, lambda x: x.isNotNull())
+    """Labels whose pattern occurs in the folded text, dictionary order; [] for null/empty.
+
+    The folded text is bound once; each pattern's regex only runs on rows
+    that contain one of its literal needles (a plain substring search).
+    """
+    def find(norm: Column) -> Column:
+        hits = []
+        for label, p in SKILLS:
+            has = functools.reduce(lambda x, y: x | y, [norm.contains(n) for n in needles(p)])
+            hits.append(F.when(has & norm.rlike(java_pattern(p)), F.lit(label)))
+        return F.filter(F.array(*hits), lambda x: x.isNotNull())
+
+    return let(fold_accents(F.coalesce(text, F.lit(""))), find)

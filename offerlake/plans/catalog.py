@@ -371,9 +371,9 @@ def _salary_text() -> Column:
 
 def salary_parse(spark, sf):
     o = tbl(spark, sf, "orders").select("o_orderkey", _salary_text().alias("sal_text"))
-    p = salary.parse_salary_fr(F.col("sal_text"))
-    return o.select("o_orderkey", "sal_text", p["min"].alias("sal_min"), p["max"].alias("sal_max"),
-                    p["period"].alias("sal_period"))
+    o = o.withColumn("p", salary.parse_salary_fr(F.col("sal_text")))
+    return o.select("o_orderkey", "sal_text", F.col("p.min").alias("sal_min"), F.col("p.max").alias("sal_max"),
+                    F.col("p.period").alias("sal_period"))
 
 
 def _structured_salary(spark, sf):
@@ -403,10 +403,9 @@ def salary_annualise(spark, sf):
 
 
 def salary_rejects(spark, sf):
-    o = tbl(spark, sf, "orders").select("o_orderkey", _salary_text().alias("salary_raw"))
-    p = salary.parse_salary_fr(F.col("salary_raw"))
-    a = salary.annualize(p["min"], p["max"], p["period"], F.lit("EUR"))
-    reason = salary.reject_reason(F.col("salary_raw"), p, a["lo"])
+    o = (tbl(spark, sf, "orders").select("o_orderkey", _salary_text().alias("salary_raw"))
+         .withColumn("s", salary.salary_from_text(F.col("salary_raw"))))
+    reason = F.col("s.reason")
     return (o.select(F.concat(F.lit("IND_"), F.col("o_orderkey").cast("string")).alias("offer_id"),
                      "salary_raw", reason.alias("reason"), F.lit(RUN_DATE).alias("run_date"))
              .where(F.col("reason").isNotNull()))
