@@ -47,9 +47,11 @@ FEED_B_RECORD = T.StructType([
     T.StructField("remote", T.StringType()),
 ])
 
-# Landed bronze rows: position in the source document and the raw record.
-BRONZE = T.StructType([
+# Landed bronze rows: position in the source document, the key (keyed
+# objects) and the record's raw JSON text.
+BRONZE_ROWS = T.StructType([
     T.StructField("pos", T.IntegerType(), False),
+    T.StructField("key", T.StringType()),
     T.StructField("raw", T.StringType()),
 ])
 
