@@ -1 +1 @@
-"""Plans: the offer pipeline (bronze -> silver -> gold) and the query catalogue."""
+"""Plans: the offer job (bronze -> silver -> gold) and the query catalogue."""

@@ -572,6 +572,19 @@ def sample_first_n(spark, sf):
     return first.select("doc_id", text.redact_contacts(F.col("text")).alias("text"))
 
 
+def offer_star_build(spark, sf):
+    """The whole job on feeds derived from the tables: land, conform, build
+    the star and marts, run the checks; returns the fact table."""
+    import uuid
+
+    from offerlake.plans import derived_feeds, job
+    from offerlake.session import scratch_path
+    base = scratch_path(spark, f"derived-{uuid.uuid4().hex[:12]}")
+    sources = derived_feeds.write_feeds(spark, sf, f"{base}/raw")
+    job.run_job(spark, f"{base}/lake", RUN_DATE, sources, exclude_tags=("fullonly",), export=False)
+    return spark.read.parquet(f"{base}/lake/warehouse/fct_offres")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "box_plot_by_segment": box_plot_by_segment,
     "box_plot_min_n": box_plot_min_n,
@@ -620,4 +633,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_stats": run_stats,
     "parquet_scan": parquet_scan,
     "sample_first_n": sample_first_n,
+    "offer_star_build": offer_star_build,
 }

@@ -5,7 +5,7 @@ import tempfile
 
 import pytest
 
-from offerlake.plans import pipeline
+from offerlake.plans import job
 from offerlake.sources import bronze
 
 HERE = os.path.dirname(os.path.abspath(__file__))
@@ -17,7 +17,7 @@ RUN = "2026-06-10"
 @pytest.fixture(scope="module")
 def run(spark):
     root = tempfile.mkdtemp(prefix="offerlake-test-")
-    stats = pipeline.run_job(spark, root, RUN, SOURCES, exclude_tags=("fullonly",))
+    stats = job.run_job(spark, root, RUN, SOURCES, exclude_tags=("fullonly",))
     return root, stats
 
 
@@ -79,7 +79,7 @@ def test_gold(spark, run):
 
 def test_quality_gate_blocks_export(spark):
     root = tempfile.mkdtemp(prefix="offerlake-test-")
-    s = pipeline.run_job(spark, root, RUN, SOURCES)             # frozen full-corpus counts included
+    s = job.run_job(spark, root, RUN, SOURCES)             # frozen full-corpus counts included
     assert not s["gold_ok"] and "assert_reference_counts" in s["failed_checks"]
     assert "gold_exported" not in s
 
@@ -88,7 +88,7 @@ def test_idempotent_and_immutable_bronze(spark, run):
     root, _ = run
     before = sorted(tuple(r) for r in spark.read.parquet(f"{root}/silver/offres").collect())
     other = dict(SOURCES, wttj=f"{FIX}/feed_b.json")        # a different file for the same date
-    pipeline.run_job(spark, root, RUN, other, exclude_tags=("fullonly",))
+    job.run_job(spark, root, RUN, other, exclude_tags=("fullonly",))
     after = sorted(tuple(r) for r in spark.read.parquet(f"{root}/silver/offres").collect())
     assert before == after                                    # bronze for that date was not overwritten
     assert bronze.read(spark, f"{root}/bronze", "wttj", RUN).count() == 4
@@ -96,5 +96,5 @@ def test_idempotent_and_immutable_bronze(spark, run):
 
 def test_missing_source(spark):
     root = tempfile.mkdtemp(prefix="offerlake-test-")
-    s = pipeline.run_job(spark, root, RUN, dict(SOURCES, indeed=f"{FIX}/nope.json"), skip_gold=True)
+    s = job.run_job(spark, root, RUN, dict(SOURCES, indeed=f"{FIX}/nope.json"), skip_gold=True)
     assert s["present"]["indeed"] is False and (s["n_total"], s["n_indeed"]) == (4, 0)
