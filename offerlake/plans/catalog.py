@@ -166,7 +166,8 @@ def star_fact(spark, sf):
         (keys.surrogate_key(part, "p_type", "type_key"), "p_type", "type_key"),
         (keys.surrogate_key(supp, "s_nation", "nation_key"), "s_nation", "nation_key"),
     ]
-    return attach_keys(fact, dims).select("l_orderkey", "l_linenumber", "l_extendedprice",
+    fact = fact.withColumn("__row", F.struct("l_orderkey", "l_linenumber"))
+    return attach_keys(fact, dims, row_id="__row").select("l_orderkey", "l_linenumber", "l_extendedprice",
                                           "brand_key", "type_key", "nation_key")
 
 

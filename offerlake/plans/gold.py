@@ -71,7 +71,7 @@ def fact(v: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         (dims["dim_entreprise"], "company", "entreprise_key"),
         (dims["dim_experience"], "exp_bucket", "exp_key"),
         (dims["dim_education"], "education", "edu_key"),
-    ])
+    ], row_id="offer_id")
 
 
 COMPLETENESS = (

@@ -103,7 +103,11 @@ def conform_b(rows: DataFrame, twins: DataFrame, run_date: str) -> tuple[DataFra
         F.lit(200).alias("status"),
         skills.extract_skills(kw_text).alias("skills"),
     )
-    df = df.join(tw, F.col("url") == F.col("__twin_url"), "left")
+    # Offers without a URL cannot be twins; their join key is spread per row
+    # so they do not all land in one partition of a shuffled join.
+    from offerlake.operators.star import spread_null_key
+    url_key = spread_null_key(F.when(F.col("url") != "", F.col("url")), F.col("offer_id"))
+    df = df.join(tw, url_key == F.col("__twin_url"), "left")
     df = df.withColumn("is_twin", F.col("url").isNotNull() & (F.col("url") != "")
                        & F.coalesce(F.col("__twin"), F.lit(False)))
     df = geo.with_departement(df, "city")
