@@ -36,3 +36,28 @@ def read_mart(spark: SparkSession, name: str, catalog: dict[str, str]) -> DataFr
     if name not in catalog:
         raise KeyError(f"unknown mart: {name}")
     return spark.read.parquet(catalog[name])
+
+
+def register_gold(spark: SparkSession, gold_dir: str, names: list[str]) -> list[str]:
+    """Expose exported gold tables as session views named after the tables."""
+    for n in names:
+        spark.read.parquet(f"{gold_dir.rstrip('/')}/{n}.parquet").createOrReplaceTempView(n)
+    return names
+
+
+def list_marts(spark: SparkSession) -> list[str]:
+    """Names of the registered marts (``mart_*``), sorted."""
+    return sorted(t.name for t in spark.catalog.listTables() if t.name.startswith("mart_"))
+
+
+def read_registered_mart(spark: SparkSession, name: str) -> DataFrame:
+    """Scan a registered mart, only if ``name`` is one of them (no SQL built from input)."""
+    if name not in list_marts(spark):
+        raise KeyError(f"unknown mart: {name}")
+    return spark.table(name)
+
+
+def query(spark: SparkSession, sql: str, params: dict | None = None, **frames: DataFrame) -> DataFrame:
+    """Parameterised read query: values bind as named parameters (``:name``),
+    DataFrames as ``{name}`` placeholders; no value is spliced into the text."""
+    return spark.sql(sql, args=params or {}, **frames)

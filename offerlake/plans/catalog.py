@@ -582,8 +582,10 @@ def offer_star_build(spark, sf):
     from offerlake.session import scratch_path
     base = scratch_path(spark, f"derived-{uuid.uuid4().hex[:12]}")
     sources = derived_feeds.write_feeds(spark, sf, f"{base}/raw")
-    job.run_job(spark, f"{base}/lake", RUN_DATE, sources, exclude_tags=("fullonly",), export=False)
-    return spark.read.parquet(f"{base}/lake/warehouse/fct_offres")
+    stats = job.run_job(spark, f"{base}/lake", RUN_DATE, sources, exclude_tags=("fullonly",))
+    if not stats["gold_ok"]:
+        raise RuntimeError(f"quality gate failed: {stats['failed_checks']}")
+    return spark.read.parquet(f"{base}/lake/gold/fct_offres.parquet")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -98,3 +98,21 @@ def test_missing_source(spark):
     root = tempfile.mkdtemp(prefix="offerlake-test-")
     s = job.run_job(spark, root, RUN, dict(SOURCES, indeed=f"{FIX}/nope.json"), skip_gold=True)
     assert s["present"]["indeed"] is False and (s["n_total"], s["n_indeed"]) == (4, 0)
+
+
+def test_read_layer(spark, run):
+    from offerlake.operators import search
+    root, s = run
+    search.register_gold(spark, f"{root}/gold", s["gold_exported"])
+    marts = search.list_marts(spark)
+    assert len(marts) == 13 and marts == sorted(marts)
+    assert search.read_registered_mart(spark, "mart_kpis").first().n_offres == 7
+    with pytest.raises(KeyError):
+        search.read_registered_mart(spark, "fct_offres; DROP")
+    page = search.search_offers(spark.table("fct_offres"), departement="75", limit=5).collect()
+    assert [r.source for r in page] == ["WTTJ"]
+    q = search.query(spark, "SELECT count(*) AS n FROM {f} WHERE has_salary = :h",
+                     {"h": True}, f=spark.table("fct_offres"))
+    assert q.first().n == 3
+    with pytest.raises(ValueError):
+        search.search_offers(spark.table("fct_offres"), limit=501)
