@@ -45,27 +45,38 @@ def top_k(df: DataFrame, key: str, k: int, *, n: str = "n", extra: Sequence[Colu
 
 
 def distribution(df: DataFrame, key: str, value: str, *, min_n: int = 1, extremes: bool = True,
-                 out_key: str | None = None) -> DataFrame:
+                 out_key: str | None = None, bounded_domain: bool = False) -> DataFrame:
     """Box-plot per group: n, median, q1, q3 (and min, max), all rounded.
 
-    Exact quantiles with linear interpolation.  Rows are first reduced to
-    (group, value, frequency) so only distinct values cross the shuffle; the
-    quantile aggregate then holds one entry per distinct value of a group.
+    Exact continuous quantiles.  By default they come from
+    ``quantiles.exact_quantiles``, where no task holds a whole group.  With
+    ``bounded_domain`` (the value takes few distinct values, e.g. rounded
+    salaries in a fixed band) rows are reduced to (group, value, frequency)
+    and ``percentile`` merges one entry per distinct value per group.
     """
+    from offerlake.operators.quantiles import exact_quantiles
+
     out_key = out_key or key
-    freq = (df.where(F.col(value).isNotNull())
-              .groupBy(key, value).agg(F.count(F.lit(1)).alias("__f")))
-    v, f = F.col(value), F.col("__f")
-    aggs = [
-        F.sum(f).alias("n"),
-        F.round(F.percentile(v, 0.5, f), 0).alias("median"),
-        F.round(F.percentile(v, 0.25, f), 0).alias("q1"),
-        F.round(F.percentile(v, 0.75, f), 0).alias("q3"),
-    ]
-    if extremes:
-        aggs += [F.round(F.min(v).cast("double"), 0).alias("mini"),
-                 F.round(F.max(v).cast("double"), 0).alias("maxi")]
-    out = freq.groupBy(key).agg(*aggs).where(F.col("n") >= min_n)
+    v = F.col(value)
+    if bounded_domain:
+        freq = (df.where(v.isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("__f")))
+        f = F.col("__f")
+        aggs = [
+            F.sum(f).alias("n"),
+            F.round(F.percentile(v, 0.5, f), 0).alias("median"),
+            F.round(F.percentile(v, 0.25, f), 0).alias("q1"),
+            F.round(F.percentile(v, 0.75, f), 0).alias("q3"),
+        ]
+        if extremes:
+            aggs += [F.round(F.min(v).cast("double"), 0).alias("mini"),
+                     F.round(F.max(v).cast("double"), 0).alias("maxi")]
+        out = freq.groupBy(key).agg(*aggs).where(F.col("n") >= min_n)
+    else:
+        probs = {"median": 0.5, "q1": 0.25, "q3": 0.75}
+        if extremes:
+            probs.update({"mini": 0.0, "maxi": 1.0})
+        q = exact_quantiles(df, [key], value, probs).where(F.col("n") >= min_n)
+        out = q.select(key, "n", *[F.round(F.col(c), 0).alias(c) for c in probs])
     if out_key != key:
         out = out.withColumnRenamed(key, out_key)
     return out.orderBy(F.desc("median"), F.col(out_key).asc_nulls_first())

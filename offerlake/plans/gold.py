@@ -122,10 +122,10 @@ def marts(fct: DataFrame, stg: DataFrame) -> dict[str, DataFrame]:
                                         rename={"profession": "metier"}),
         "mart_par_remote": agg.count_by(fct, "remote", non_null=["remote"]),
         "mart_salaire_par_contrat": agg.distribution(with_sal, "contract", "sal_mid_eur", min_n=5,
-                                                     out_key="contrat"),
+                                                     out_key="contrat", bounded_domain=True),
         "mart_salaire_par_metier": agg.distribution(with_sal.where(F.col("profession").isNotNull()),
                                                     "profession", "sal_mid_eur", min_n=8, extremes=False,
-                                                    out_key="metier"),
+                                                    out_key="metier", bounded_domain=True),
         "mart_tension": agg.count_by(fct, ["profession", "departement"], non_null=["profession"],
                                      exclude={"departement": ["Non précisé", "Hors référentiel"]},
                                      rename={"profession": "metier"}, order=False),
