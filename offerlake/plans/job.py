@@ -49,8 +49,8 @@ def build_silver(spark: SparkSession, layout: Layout, run_date: str) -> dict:
     rows_b = bronze.read(spark, layout.bronze, "indeed", run_date)
     twins = bronze.read(spark, layout.bronze, "cross_site", run_date)
     offers, rejects = silver.build(rows_a, rows_b, twins, run_date)
-    sinks.write_partition(offers, layout.silver_offers)
-    sinks.write_partition(rejects, layout.silver_rejects)
+    sinks.write_partition(offers, layout.silver_offers, run_date)
+    sinks.write_partition(rejects, layout.silver_rejects, run_date)
     s = sinks.read_silver(spark, layout.silver_offers, run_date)
     r = sinks.read_rejects(spark, layout.silver_rejects, run_date)
     return silver.stats(s, r, run_date).first().asDict()

@@ -8,11 +8,14 @@ from pyspark.sql.utils import AnalysisException
 from offerlake.schemas import REJECTS, SILVER
 
 
-def write_partition(df: DataFrame, path: str) -> None:
-    """Overwrite only the ``run_date`` partitions present in ``df``
-    (dynamic partition overwrite): re-running a date replaces that date."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("run_date").parquet(path))
+def write_partition(df: DataFrame, path: str, run_date: str) -> None:
+    """Overwrite the ``run_date=<run_date>`` partition of ``path`` only.
+
+    Other dates are untouched, re-running a date replaces it, and an empty
+    result still writes a (schema-only) file, so the table always exists.
+    """
+    (df.drop("run_date").write.mode("overwrite")
+       .parquet(f"{path.rstrip('/')}/run_date={run_date}"))
 
 
 def read_silver(spark: SparkSession, path: str, run_date: str) -> DataFrame:

@@ -116,3 +116,13 @@ def test_read_layer(spark, run):
     assert q.first().n == 3
     with pytest.raises(ValueError):
         search.search_offers(spark.table("fct_offres"), limit=501)
+
+
+def test_empty_rejects_and_manifest(spark):
+    root = tempfile.mkdtemp(prefix="offerlake-test-")
+    s = job.run_job(spark, root, RUN, dict(SOURCES, indeed=None), skip_gold=True)
+    assert s["n_rejects_salaire"] == 0
+    rej = spark.read.parquet(f"{root}/silver/rejets_salaire")
+    assert rej.columns == ["offer_id", "salary_raw", "reason", "run_date"] and rej.count() == 0
+    m = bronze.read_manifest(spark, f"{root}/bronze")
+    assert m["run_date"] == RUN and [x["present"] for x in m["sources"]] == [True, False, True]
