@@ -126,8 +126,9 @@ def build(rows_a: DataFrame, rows_b: DataFrame, twin_rows: DataFrame,
 
 
 def stats(silver: DataFrame, rejects: DataFrame, run_date: str) -> DataFrame:
-    # Both inputs reduced to one row each, then put side by side by a
-    # constant key (1 x 1 rows).
+    """One-row run statistics.  Both inputs are reduced to one row each and
+    put side by side on the run date.  The percentage is rounded half-even,
+    as the statistics file of the reference is written by Python."""
     n = F.count(F.lit(1))
     sal = F.count_if("has_salary")
     s = silver.agg(
@@ -136,7 +137,8 @@ def stats(silver: DataFrame, rejects: DataFrame, run_date: str) -> DataFrame:
         F.count_if(F.col("source") == "Indeed").alias("n_indeed"),
         F.count_if("is_twin").alias("n_twins_indeed"),
         sal.alias("n_salary"),
-        F.coalesce(F.round(F.try_divide(F.lit(100.0) * sal, n.cast("double")), 1), F.lit(0.0)).alias("pct_salary"),
+        F.coalesce(F.bround(F.try_divide(F.lit(100.0) * sal, n.cast("double")), 1), F.lit(0.0))
+         .alias("pct_salary"),
     )
     r = rejects.agg(F.count(F.lit(1)).alias("n_rejects_salaire")).withColumn("run_date", F.lit(run_date))
     return s.join(r, "run_date")
