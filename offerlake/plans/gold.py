@@ -85,8 +85,13 @@ COMPLETENESS = (
 )
 
 
-def kpis(fct: DataFrame, stg: DataFrame) -> DataFrame:
-    """The KPI card: one pass over the fact, one count over staging."""
+def kpis(fct: DataFrame, stg: DataFrame, *, approx_distinct: bool = False) -> DataFrame:
+    """The KPI card: one pass over the fact, one count over staging.
+
+    Distinct companies and cities are exact by default; ``approx_distinct``
+    uses HyperLogLog++ (about 1 % error) to avoid the distinct expansion.
+    """
+    distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
     n = F.count(F.lit(1))
     sal = F.count_if("has_salary")
     mid = F.when(F.col("has_salary"), F.col("sal_mid_eur"))
@@ -96,8 +101,8 @@ def kpis(fct: DataFrame, stg: DataFrame) -> DataFrame:
         F.count_if(F.col("source") == "Indeed").alias("n_indeed"),
         sal.alias("n_salaire"),
         agg.pct(sal, n).alias("pct_salaire"),
-        F.count_distinct("company").alias("n_entreprises"),
-        F.count_distinct("city").alias("n_villes"),
+        distinct("company").alias("n_entreprises"),
+        distinct("city").alias("n_villes"),
         F.count_if("is_idf").alias("n_idf"),
         F.round(F.median(mid), 0).alias("salaire_median"),
         F.round(F.percentile(mid, 0.25), 0).alias("salaire_q1"),

@@ -53,6 +53,7 @@ def build_silver(spark: SparkSession, layout: Layout, run_date: str) -> dict:
     sinks.write_partition(rejects, layout.silver_rejects, run_date)
     s = sinks.read_silver(spark, layout.silver_offers, run_date)
     r = sinks.read_rejects(spark, layout.silver_rejects, run_date)
+    silver.validate(s, strict=True)
     return silver.stats(s, r, run_date).first().asDict()
 
 

@@ -142,3 +142,39 @@ def stats(silver: DataFrame, rejects: DataFrame, run_date: str) -> DataFrame:
     )
     r = rejects.agg(F.count(F.lit(1)).alias("n_rejects_salaire")).withColumn("run_date", F.lit(run_date))
     return s.join(r, "run_date")
+
+
+# The silver row contract (required fields, source enum).
+SILVER_CONTRACT = [
+    {"field": "offer_id", "type": "string", "nullable": False},
+    {"field": "source", "type": "string", "nullable": False, "enum": ["WTTJ", "Indeed"]},
+    {"field": "departement", "type": "string", "nullable": False},
+    {"field": "is_idf", "type": "boolean", "nullable": False},
+    {"field": "contract", "type": "string", "nullable": False},
+    {"field": "sal_min_eur", "type": "integer", "nullable": True, "max_of": "sal_max_eur"},
+    {"field": "sal_max_eur", "type": "integer", "nullable": True},
+    {"field": "has_salary", "type": "boolean", "nullable": False},
+    {"field": "date_is_precise", "type": "boolean", "nullable": False},
+    {"field": "status", "type": "integer", "nullable": True},
+    {"field": "is_twin", "type": "boolean", "nullable": False},
+    {"field": "skills", "type": "list<string>", "nullable": False},
+    {"field": "run_date", "type": "string", "nullable": False},
+    {"field": "ingested_at", "type": "string", "nullable": False},
+]
+
+
+class InvalidRowsError(ValueError):
+    pass
+
+
+def validate(silver: DataFrame, *, strict: bool = True) -> DataFrame:
+    """Row validation of silver (one scan).  Returns the violations; with
+    ``strict`` any violation aborts the run, as row validation does in the
+    reference."""
+    from offerlake.operators.quality import contract_violations
+    v = contract_violations(silver, SILVER_CONTRACT)
+    if strict:
+        bad = v.collect()          # at most a few rows: one per rule and field
+        if bad:
+            raise InvalidRowsError("; ".join(f"{r.rule}:{r.field}={r.violations}" for r in bad))
+    return v
