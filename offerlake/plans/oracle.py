@@ -265,7 +265,7 @@ def oracle_sql() -> dict[str, str]:
                 UNION ALL SELECT 'not_null', 'c_mktsegment', count(*) FILTER (WHERE c_mktsegment IS NULL) FROM customer
                 UNION ALL SELECT 'enum', 'c_mktsegment',
                           count(*) FILTER (WHERE c_mktsegment IS NOT NULL AND c_mktsegment NOT IN ({enum})) FROM customer
-                UNION ALL SELECT 'unique', 'c_custkey', coalesce(sum(n - 1), 0) FROM (
+                UNION ALL SELECT 'unique', 'c_custkey', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (
                     SELECT c_custkey, count(*) AS n FROM customer WHERE c_custkey IS NOT NULL
                     GROUP BY 1 HAVING count(*) > 1))
             SELECT * FROM v WHERE violations > 0""",
