@@ -31,13 +31,17 @@ def _boundaries(keys: DataFrame, col: str, n: int, buckets: int) -> list:
 
 
 def surrogate_key(df: DataFrame, key: str, name: str, *, non_null: bool = True,
-                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Distinct values of ``key`` with ``name`` = 1..N in ascending key order (bigint)."""
+                  rows_per_bucket: int = ROWS_PER_BUCKET, n_keys: int | None = None) -> DataFrame:
+    """Distinct values of ``key`` with ``name`` = 1..N in ascending key order (bigint).
+
+    ``n_keys`` (the number of distinct keys, if already known) only sizes the
+    buckets; it saves the counting job.
+    """
     keys = df.select(key)
     if non_null:
         keys = keys.where(F.col(key).isNotNull())
     keys = keys.distinct()
-    n = keys.count()
+    n = keys.count() if n_keys is None else n_keys
     buckets = max(1, min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)))
     cuts = _boundaries(keys, key, n, buckets) if buckets > 1 else []
     if cuts:

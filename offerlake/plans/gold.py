@@ -43,21 +43,31 @@ def valid(stg: DataFrame) -> DataFrame:
 
 def dimensions(v: DataFrame) -> dict[str, DataFrame]:
     """The eight dimensions, keys numbered in natural-key order."""
+    # Distinct key counts of all dimensions in one pass (they only size the
+    # numbering buckets); approximate counts are enough for that.
+    day = F.when(F.col("date_is_precise") & F.col("posted_date").isNotNull(), F.col("posted_date").cast("date"))
+    cols = {"contract": F.col("contract"), "remote": F.col("remote"), "profession": F.col("profession"),
+            "company": F.col("company"), "exp_bucket": F.col("exp_bucket"), "education": F.col("education"),
+            "city": F.col("city"), "jour": day}
+    sizes = v.agg(*[F.approx_count_distinct(c).alias(k) for k, c in cols.items()]).first().asDict()
+
+    def sk(df: DataFrame, key: str, name: str) -> DataFrame:
+        return keys.surrogate_key(df, key, name, n_keys=int(sizes[key] * 1.05) + 1)
+
     dims = {
-        "dim_contrat": keys.surrogate_key(v, "contract", "contrat_key"),
-        "dim_remote": keys.surrogate_key(v, "remote", "remote_key"),
-        "dim_metier": keys.surrogate_key(v, "profession", "metier_key"),
-        "dim_entreprise": keys.surrogate_key(v, "company", "entreprise_key"),
-        "dim_experience": keys.surrogate_key(v, "exp_bucket", "exp_key"),
-        "dim_education": keys.surrogate_key(v, "education", "edu_key"),
+        "dim_contrat": sk(v, "contract", "contrat_key"),
+        "dim_remote": sk(v, "remote", "remote_key"),
+        "dim_metier": sk(v, "profession", "metier_key"),
+        "dim_entreprise": sk(v, "company", "entreprise_key"),
+        "dim_experience": sk(v, "exp_bucket", "exp_key"),
+        "dim_education": sk(v, "education", "edu_key"),
     }
     places = (v.where(F.col("city").isNotNull()).groupBy("city")
                .agg(F.any_value("departement", True).alias("departement"), F.bool_or("is_idf").alias("is_idf")))
-    dims["dim_lieu"] = (keys.surrogate_key(places, "city", "lieu_key").join(places, "city")
+    dims["dim_lieu"] = (sk(places, "city", "lieu_key").join(places, "city")
                         .select("lieu_key", "city", "departement", "is_idf"))
-    days = v.where(F.col("date_is_precise") & F.col("posted_date").isNotNull()).select(
-        F.col("posted_date").cast("date").alias("jour"))
-    dims["dim_date"] = keys.surrogate_key(days, "jour", "date_key").select(
+    days = v.select(day.alias("jour")).where(F.col("jour").isNotNull())
+    dims["dim_date"] = sk(days, "jour", "date_key").select(
         "date_key", "jour", F.date_format("jour", "yyyy-MM").alias("mois"), F.year("jour").alias("annee"))
     return dims
 
