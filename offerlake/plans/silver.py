@@ -13,9 +13,11 @@ from offerlake.functions import dates, geo, labels, salary, skills, text
 from offerlake.schemas import OPTIONAL_TEXT_COLUMNS, SILVER, SILVER_COLUMNS
 
 
-def _json_type(path: str) -> Column:
-    """Raw JSON type of a top-level field ('BOOLEAN', 'STRING', ...)."""
-    return F.expr(f"schema_of_variant(variant_get(parse_json(raw), '$.{path}'))")
+def _remote(o: str = "o") -> Column:
+    """Normalised remote label from the VARIANT-typed field: its text plus its
+    raw JSON type ('BOOLEAN' or 'STRING'), from the same parse."""
+    v = F.col(f"{o}.remote")
+    return labels.normalize_remote(v.cast("string"), F.expr(f"schema_of_variant({o}.remote)"))
 
 
 def _finish(df: DataFrame, run_date: str) -> DataFrame:
@@ -36,8 +38,7 @@ def _finish(df: DataFrame, run_date: str) -> DataFrame:
 def conform_a(rows: DataFrame, run_date: str) -> DataFrame:
     """Feed A (structured) -> silver columns."""
     from offerlake.schemas import FEED_A_RECORD
-    r = rows.select("pos", "raw", F.from_json("raw", FEED_A_RECORD).alias("o"),
-                    _json_type("remote").alias("remote_type"))
+    r = rows.select("pos", "raw", F.from_json("raw", FEED_A_RECORD).alias("o"))
     o = lambda c: F.col(f"o.{c}")
     ann = salary.annualize(salary.to_number(o("salMin")), salary.to_number(o("salMax")),
                            o("salPer"), o("salCur"))
@@ -55,7 +56,7 @@ def conform_a(rows: DataFrame, run_date: str) -> DataFrame:
         text.falsy_default(o("contract"), labels.NOT_SPECIFIED).alias("contract"),
         o("exp").alias("experience"),
         o("edu").alias("education"),
-        labels.normalize_remote(o("remote"), F.col("remote_type")).alias("remote"),
+        _remote().alias("remote"),
         ann["lo"].alias("sal_min_eur"),
         ann["hi"].alias("sal_max_eur"),
         o("salPer").alias("sal_source_period"),
@@ -72,8 +73,7 @@ def conform_a(rows: DataFrame, run_date: str) -> DataFrame:
 def conform_b(rows: DataFrame, twins: DataFrame, run_date: str) -> tuple[DataFrame, DataFrame]:
     """Feed B (free text) -> (silver columns, salary rejects)."""
     from offerlake.schemas import FEED_B_RECORD
-    r = rows.select("pos", "raw", F.from_json("raw", FEED_B_RECORD).alias("o"),
-                    _json_type("remote").alias("remote_type"))
+    r = rows.select("pos", "raw", F.from_json("raw", FEED_B_RECORD).alias("o"))
     o = lambda c: F.col(f"o.{c}")
     offer_id = F.concat(F.lit("IND_"), text.falsy_default(o("jk"), F.col("pos").cast("string")))
     r = r.withColumn("offer_id", offer_id).withColumn("sal", salary.salary_from_text(o("salary")))
@@ -94,7 +94,7 @@ def conform_b(rows: DataFrame, twins: DataFrame, run_date: str) -> tuple[DataFra
         labels.infer_contract(o("jobTypes")).alias("contract"),
         F.lit(None).cast("string").alias("experience"),
         F.lit(None).cast("string").alias("education"),
-        labels.normalize_remote(o("remote"), F.col("remote_type")).alias("remote"),
+        _remote().alias("remote"),
         F.col("sal.lo").alias("sal_min_eur"),
         F.col("sal.hi").alias("sal_max_eur"),
         F.col("sal.parsed.period").alias("sal_source_period"),

@@ -14,7 +14,7 @@ FEED_A_RECORD = T.StructType([
     T.StructField("exp", T.StringType()),
     T.StructField("edu", T.StringType()),
     T.StructField("contract", T.StringType()),
-    T.StructField("remote", T.StringType()),
+    T.StructField("remote", T.VariantType()),   # bool or text: the raw type matters
     T.StructField("date", T.StringType()),
     T.StructField("profession", T.StructType([
         T.StructField("fr", T.StringType()),
@@ -44,7 +44,7 @@ FEED_B_RECORD = T.StructType([
     T.StructField("jobTypes", T.ArrayType(T.StringType())),
     T.StructField("salary", T.StringType()),
     T.StructField("date", T.StringType()),
-    T.StructField("remote", T.StringType()),
+    T.StructField("remote", T.VariantType()),   # bool or text: the raw type matters
 ])
 
 # Landed bronze rows: position in the source document, the key (keyed
