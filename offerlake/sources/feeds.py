@@ -46,14 +46,21 @@ def explode_records(docs: DataFrame) -> DataFrame:
         F.transform(arr, lambda r: F.struct(F.lit(None).cast("string").alias("key"), r.alias("raw"))),
         F.transform(F.map_entries(obj), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("raw"))),
         F.array().cast("array<struct<key:string,raw:string>>"))
-    rows = docs.select("file", F.posexplode(entries).alias("p", "e"))
+    rows = docs.select("file", F.posexplode(entries).alias("p", "e")).select(
+        "file", "p", F.col("e.key").alias("key"), F.col("e.raw").alias("raw"))
+    # A key repeated in one object keeps its first position and its last
+    # value, as a JSON object loaded into a dictionary does; positions are
+    # then renumbered within the file.
+    keyed = (rows.where(F.col("key").isNotNull()).groupBy("file", "key")
+                 .agg(F.min("p").alias("p"), F.max_by("raw", "p").alias("raw")))
+    rows = rows.where(F.col("key").isNull()).unionByName(keyed.select("file", "p", "key", "raw"))
+    rows = rows.withColumn("p", F.row_number().over(Window.partitionBy("file").orderBy("p")) - 1)
     counts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("__n"))
     # Offsets of each file (one row per file: small) so positions are global.
     offsets = counts.select("file", F.coalesce(F.sum("__n").over(
         Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
     return (rows.join(offsets, "file")
-                .select((F.col("__off") + F.col("p")).cast("int").alias("pos"),
-                        F.col("e.key").alias("key"), F.col("e.raw").alias("raw")))
+                .select((F.col("__off") + F.col("p")).cast("int").alias("pos"), "key", "raw"))
 
 
 def read_feed(spark: SparkSession, path: str | None) -> DataFrame:

@@ -126,3 +126,11 @@ def test_empty_rejects_and_manifest(spark):
     assert rej.columns == ["offer_id", "salary_raw", "reason", "run_date"] and rej.count() == 0
     m = bronze.read_manifest(spark, f"{root}/bronze")
     assert m["run_date"] == RUN and [x["present"] for x in m["sources"]] == [True, False, True]
+
+
+def test_repeated_key_in_keyed_feed(spark, tmp_path):
+    from offerlake.sources import feeds
+    doc = tmp_path / "b.json"
+    doc.write_text('{"a": {"jk": "a", "title": "one"}, "b": {"jk": "b"}, "a": {"jk": "a", "title": "two"}}')
+    rows = feeds.read_feed(spark, str(doc)).orderBy("pos").collect()
+    assert [(r.pos, r.key) for r in rows] == [(0, "a"), (1, "b")] and '"two"' in rows[0].raw
