@@ -115,3 +115,16 @@ def frozen_counts(df: DataFrame, checks: Sequence[tuple[str, Column, int]], *,
 
 def _sql_str(s: str) -> str:
     return s.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """Combine one-row results into one row (distinct column names).
+
+    A union followed by one aggregate: no join, so no cross product in the
+    plan.  Each input must have exactly one row.
+    """
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r, allowMissingColumns=True)
+    cols = [c for r in rows for c in r.columns]
+    return out.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])

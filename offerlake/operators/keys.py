@@ -50,6 +50,9 @@ def surrogate_key(df: DataFrame, key: str, name: str, *, non_null: bool = True,
     else:
         bucket = F.lit(0)
     keyed = keys.withColumn("__b", bucket)
+    if not cuts:   # one bucket: offsets are all zero
+        w1 = Window.partitionBy("__b").orderBy(F.col(key).asc_nulls_first())
+        return keyed.select(F.row_number().over(w1).cast("bigint").alias(name), key)
     # Keys per bucket -> offset of each bucket (at most MAX_BUCKETS rows).
     per = keyed.groupBy("__b").agg(F.count(F.lit(1)).alias("__cnt"))
     offsets = per.select("__b", (F.sum("__cnt").over(

@@ -60,17 +60,22 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     else:
         bucket = F.lit(0)
     fb = freq.withColumn("__b", bucket)
-    # Per (bucket, group) totals: at most buckets x groups rows.
-    per = fb.groupBy("__b", *keys).agg(F.sum("__f").alias("__s"))
-    gw = Window.partitionBy(*keys)
-    per = (per.withColumn("__off", F.coalesce(F.sum("__s").over(
-                gw.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              .withColumn("n", F.sum("__s").over(gw)))
     w = Window.partitionBy("__b", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (fb.alias("a").join(per.alias("p"), _eq(["__b"] + keys, "a", "p"))
-                .select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col(f"a.{value}").alias(value),
-                        F.col("a.__f").alias("__f"), F.col("a.__b").alias("__b"),
-                        F.col("p.__off").alias("__off"), F.col("p.n").alias("n")))
+    if buckets == 1:
+        # One bucket (at most ROWS_PER_BUCKET distinct rows): no offsets.
+        ranked = (fb.withColumn("__off", F.lit(0).cast("bigint"))
+                    .withColumn("n", F.sum("__f").over(Window.partitionBy("__b", *keys))))
+    else:
+        # Per (bucket, group) totals: at most buckets x groups rows.
+        per = fb.groupBy("__b", *keys).agg(F.sum("__f").alias("__s"))
+        gw = Window.partitionBy(*keys)
+        per = (per.withColumn("__off", F.coalesce(F.sum("__s").over(
+                    gw.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                  .withColumn("n", F.sum("__s").over(gw)))
+        ranked = (fb.alias("a").join(per.alias("p"), _eq(["__b"] + keys, "a", "p"))
+                    .select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col(f"a.{value}").alias(value),
+                            F.col("a.__f").alias("__f"), F.col("a.__b").alias("__b"),
+                            F.col("p.__off").alias("__off"), F.col("p.n").alias("n")))
     ranked = ranked.withColumn("__end", F.col("__off") + F.sum("__f").over(w))
     ranked = ranked.withColumn("__start", F.col("__end") - F.col("__f"))
     # Ranks (0-based) each quantile needs: floor and ceil of (n - 1) p.

@@ -66,9 +66,7 @@ def kpi_card(spark, sf):
     q = exact_quantiles(o.where(urgent), [], "o_totalprice",
                         {"prix_median": 0.5, "prix_q1": 0.25, "prix_q3": 0.75})
     q = q.select(*[F.round(c, 0).alias(c) for c in ("prix_median", "prix_q1", "prix_q3")])
-    # Two one-row results side by side (a constant key, not a cross product).
-    return (card.withColumn("__k", F.lit(1))
-                .join(q.withColumn("__k", F.lit(1)), "__k", "left").drop("__k"))
+    return agg.side_by_side(card, q)
 
 
 def _docs_labels(spark, sf):

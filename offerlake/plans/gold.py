@@ -117,10 +117,9 @@ def kpis(fct: DataFrame, stg: DataFrame, *, approx_distinct: bool = False) -> Da
         F.round(F.median(mid), 0).alias("salaire_median"),
         F.round(F.percentile(mid, 0.25), 0).alias("salaire_q1"),
         F.round(F.percentile(mid, 0.75), 0).alias("salaire_q3"),
-    ).withColumn("__k", F.lit(1))
-    twins = stg.agg(F.count_if((F.col("source") == "Indeed") & F.col("is_twin")).alias("n_twins_dedup")) \
-               .withColumn("__k", F.lit(1))
-    return card.join(twins, "__k").select(
+    )
+    twins = stg.agg(F.count_if((F.col("source") == "Indeed") & F.col("is_twin")).alias("n_twins_dedup"))
+    return agg.side_by_side(card, twins).select(
         "n_offres", "n_wttj", "n_indeed", "n_twins_dedup", "n_salaire", "pct_salaire", "n_entreprises",
         "n_villes", "n_idf", "salaire_median", "salaire_q1", "salaire_q3")
 

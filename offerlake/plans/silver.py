@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlake.functions import dates, geo, labels, salary, skills, text
-from offerlake.schemas import OPTIONAL_TEXT_COLUMNS, SILVER, SILVER_COLUMNS
+from offerlake.operators.aggregates import side_by_side
+from offerlake.operators.star import spread_null_key
+from offerlake.schemas import FEED_A_RECORD, FEED_B_RECORD, OPTIONAL_TEXT_COLUMNS, SILVER, SILVER_COLUMNS
+from offerlake.sources.feeds import twin_urls
 
 
 def _remote(o: str = "o") -> Column:
@@ -37,7 +40,6 @@ def _finish(df: DataFrame, run_date: str) -> DataFrame:
 
 def conform_a(rows: DataFrame, run_date: str) -> DataFrame:
     """Feed A (structured) -> silver columns."""
-    from offerlake.schemas import FEED_A_RECORD
     r = rows.select("pos", "raw", F.from_json("raw", FEED_A_RECORD).alias("o"))
     o = lambda c: F.col(f"o.{c}")
     ann = salary.annualize(salary.to_number(o("salMin")), salary.to_number(o("salMax")),
@@ -72,7 +74,6 @@ def conform_a(rows: DataFrame, run_date: str) -> DataFrame:
 
 def conform_b(rows: DataFrame, twins: DataFrame, run_date: str) -> tuple[DataFrame, DataFrame]:
     """Feed B (free text) -> (silver columns, salary rejects)."""
-    from offerlake.schemas import FEED_B_RECORD
     r = rows.select("pos", "raw", F.from_json("raw", FEED_B_RECORD).alias("o"))
     o = lambda c: F.col(f"o.{c}")
     offer_id = F.concat(F.lit("IND_"), text.falsy_default(o("jk"), F.col("pos").cast("string")))
@@ -105,7 +106,6 @@ def conform_b(rows: DataFrame, twins: DataFrame, run_date: str) -> tuple[DataFra
     )
     # Offers without a URL cannot be twins; their join key is spread per row
     # so they do not all land in one partition of a shuffled join.
-    from offerlake.operators.star import spread_null_key
     url_key = spread_null_key(F.when(F.col("url") != "", F.col("url")), F.col("offer_id"))
     df = df.join(tw, url_key == F.col("__twin_url"), "left")
     df = df.withColumn("is_twin", F.col("url").isNotNull() & (F.col("url") != "")
@@ -119,7 +119,6 @@ def conform_b(rows: DataFrame, twins: DataFrame, run_date: str) -> tuple[DataFra
 
 def build(rows_a: DataFrame, rows_b: DataFrame, twin_rows: DataFrame,
           run_date: str) -> tuple[DataFrame, DataFrame]:
-    from offerlake.sources.feeds import twin_urls
     a = conform_a(rows_a, run_date)
     b, rejects = conform_b(rows_b, twin_urls(twin_rows), run_date)
     return a.unionByName(b).select(*SILVER_COLUMNS), rejects
@@ -127,7 +126,7 @@ def build(rows_a: DataFrame, rows_b: DataFrame, twin_rows: DataFrame,
 
 def stats(silver: DataFrame, rejects: DataFrame, run_date: str) -> DataFrame:
     """One-row run statistics.  Both inputs are reduced to one row each and
-    put side by side on the run date.  The percentage is rounded half-even,
+    put side by side.  The percentage is rounded half-even,
     as the statistics file of the reference is written by Python."""
     n = F.count(F.lit(1))
     sal = F.count_if("has_salary")
@@ -140,8 +139,8 @@ def stats(silver: DataFrame, rejects: DataFrame, run_date: str) -> DataFrame:
         F.coalesce(F.bround(F.try_divide(F.lit(100.0) * sal, n.cast("double")), 1), F.lit(0.0))
          .alias("pct_salary"),
     )
-    r = rejects.agg(F.count(F.lit(1)).alias("n_rejects_salaire")).withColumn("run_date", F.lit(run_date))
-    return s.join(r, "run_date")
+    r = rejects.agg(F.count(F.lit(1)).alias("n_rejects_salaire"))
+    return side_by_side(s, r)
 
 
 # The silver row contract (required fields, source enum).
