@@ -70,9 +70,10 @@ def slug(c: Column) -> Column:
 def title_tokens(c: Column) -> Column:
     """Distinct ``[a-z0-9]+`` tokens of the folded text, stop-words and
     one-letter tokens removed, sorted; null or empty text -> empty array."""
-    toks = F.regexp_extract_all(fold_accents(c), F.lit(r"[a-z0-9]+"), 0)
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    kept = F.filter(toks, lambda t: (F.length(t) > 1) & ~F.array_contains(stop, t))
+    # Runs of [a-z0-9] are the pieces between runs of anything else; the
+    # empty pieces at either end fall to the length filter.
+    toks = F.split(fold_accents(c), "[^a-z0-9]+")
+    kept = F.filter(toks, lambda t: (F.length(t) > 1) & ~t.isin(list(STOP_WORDS)))
     return F.coalesce(F.array_sort(F.array_distinct(kept)), F.array().cast("array<string>"))
 
 
