@@ -134,5 +134,5 @@ def test_redact_and_url(spark):
 
 def test_salary_special_spaces(spark):
     # narrow no-break space and thin space inside amounts are plain spaces in free text
-    assert _parse(spark, "De 45 000 € à 50 000 € par an") == (45000.0, 50000.0, "yearly")
-    assert _parse(spark, "32 000 € /an") == (32000.0, 32000.0, "yearly")
+    assert _parse(spark, "De 45\u202f000 € à 50\u202f000 € par an") == (45000.0, 50000.0, "yearly")
+    assert _parse(spark, "32\u2009000 € /an") == (32000.0, 32000.0, "yearly")
