@@ -51,10 +51,11 @@ def explode_records(docs: DataFrame) -> DataFrame:
     # A key repeated in one object keeps its first position and its last
     # value, as a JSON object loaded into a dictionary does; positions are
     # then renumbered within the file.
+    # (A file is either an array or an object, so only keyed rows need this.)
     keyed = (rows.where(F.col("key").isNotNull()).groupBy("file", "key")
                  .agg(F.min("p").alias("p"), F.max_by("raw", "p").alias("raw")))
+    keyed = keyed.withColumn("p", F.row_number().over(Window.partitionBy("file").orderBy("p")) - 1)
     rows = rows.where(F.col("key").isNull()).unionByName(keyed.select("file", "p", "key", "raw"))
-    rows = rows.withColumn("p", F.row_number().over(Window.partitionBy("file").orderBy("p")) - 1)
     counts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("__n"))
     # Offsets of each file (one row per file: small) so positions are global.
     offsets = counts.select("file", F.coalesce(F.sum("__n").over(
