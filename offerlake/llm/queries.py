@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from offerlake.llm import mixing, toxicity, url_filter
 from offerlake.llm.minhash_dedup import near_duplicates
 from offerlake.llm.spark import read
 from offerlake.llm.sql import ORACLES  # noqa: F401
@@ -13,4 +14,18 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup,)}
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(url_filter.RULES, "host string, path string, verdict string")
+    return url_filter.judge(read(spark, sf_dir, "pages"), rules)
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(read(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op5_url_filter, op8_mixing, op10_toxicity)}

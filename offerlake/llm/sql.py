@@ -25,4 +25,22 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, component_id, s.doc_id
 FROM s JOIN least ON s.doc_id = least.a
 """
 
-ORACLES = {"op1_minhash_dedup": OP1}
+OP5 = rf"""
+WITH p AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{A_Z}', '{A_Z.lower()}') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*(/[^?#]*)', 1), '') AS path
+  FROM pages),
+r(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fit AS (
+  SELECT p.host, p.path, arg_max(r.host || r.path, length(r.host) + length(r.path)) AS rule,
+         arg_max(r.verdict, length(r.host) + length(r.path)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM p) p
+  JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  GROUP BY p.host, p.path)
+SELECT p.page_id, p.host, p.path, fit.rule, coalesce(fit.verdict, 'allow') AS verdict
+FROM p LEFT JOIN fit ON p.host = fit.host AND p.path = fit.path
+"""
+
+ORACLES = {"op1_minhash_dedup": OP1, "op5_url_filter": OP5}
