@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from offerlake.llm import mixing, toxicity, url_filter
+from offerlake.llm import ann, mixing, secret_scan, toxicity, url_filter
 from offerlake.llm.minhash_dedup import near_duplicates
 from offerlake.llm.spark import read
 from offerlake.llm.sql import ORACLES  # noqa: F401
@@ -14,6 +15,10 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(read(spark, sf_dir, "documents"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(url_filter.RULES, "host string, path string, verdict string")
     return url_filter.judge(read(spark, sf_dir, "pages"), rules)
@@ -23,9 +28,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read(spark, sf_dir, "documents"))
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op5_url_filter, op8_mixing, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op4_secret_scan, op5_url_filter, op8_mixing, op9_ann, op10_toxicity)}
