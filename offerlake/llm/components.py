@@ -8,9 +8,16 @@ lost executor costs one round at most.
 
 ``link_members`` finds the components that true links form among the members of
 hash buckets.  A bucket never emits all its pairs: each round compares its members
-with one hub only, and members that have reached the hub's component drop out.
+with one hub only, and buckets whose members have reached one component are finished.
 What then still differs is compared in full, so that no link between different
-components is lost.
+components is lost: by ``sweep`` if given, else as pairs.
+
+Members may say how many elements their set has (``size``) and how many of these any
+other member has at all (``reach``).  A link at p percent needs a common part of at least
+p (size + size') / (100 + p), and no common part exceeds the reach; a member whose reach
+is too small even for the smallest set of its bucket is linked with nothing there and
+leaves the bucket.  In a large group of edited copies these are the copies that
+are edited too much, which would otherwise have to be compared with every other one.
 """
 
 from __future__ import annotations
@@ -54,37 +61,47 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
 
-def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str = "links") -> DataFrame:
-    """(bucket, node) members -> (node, label) of the components of verified links.
+def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int, name: str = "links",
+                 sweep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(bucket, node, size, reach) members -> (node, label) of the components of verified links.
 
     ``verify`` takes distinct pairs (a, b), a < b, and returns those that are links.
+    ``sweep`` takes (region, node, label) and returns links (a, b) between any two nodes
+    of one region with different labels; buckets that share members are one region.
     """
-    work = materialize(members.select("bucket", "node"), name)
+    work = materialize(members.select("bucket", "node", "size", "reach"), name)
     links = seen = None
-    turn = 0
+    turn, before = 0, None
     while True:
-        label = components(links, name) if links is not None else None
-        now = work
-        if label is None:
-            now = now.withColumn("label", F.col("node"))
-        else:
-            now = (now.join(label, "node", "left")
-                      .select("bucket", "node", F.coalesce("label", "node").alias("label")))
-        # Buckets that have reached one component are finished.
-        state = (now.groupBy("bucket", "label").agg(F.count("*").alias("n"),
-                                                     F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("hub"))
+        now = work.withColumn("label", F.col("node"))
+        if links is not None:
+            label = components(links, name)
+            now = (work.join(label, "node", "left")
+                       .select("bucket", "node", "size", "reach", F.coalesce("label", "node").alias("label")))
+        now = _possible(now, percent, name)
+        # Hubs first by the share of the set that others have: the least edited copy.
+        order = (F.col("reach") / F.col("size") if turn == 0 else F.lit(0.0), F.xxhash64("node", F.lit(turn)), "node")
+        state = (now.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.max(F.struct(*order)).alias("hub"))
                     .groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"),
-                                           F.count("*").alias("parts"), F.min("hub").alias("hub"))
-                    .where("parts > 1"))
+                                           F.count("*").alias("parts"), F.max("hub").alias("hub"))
+                    .where("parts > 1").select("bucket", "n", "within", "hub.node"))
         state = materialize(state, name)
+        if sweep is not None and turn:
+            now = now.join(state.select("bucket"), "bucket", "left_semi")
+            found = sweep(_regions(now, percent, name))
+            return components(links.union(materialize(found, name)), name)
         open_pairs, open_members = state.agg(F.sum(F.expr("(n * n - within) / 2")), F.sum("n")).first()
         if not open_members:
             break
-        last = open_pairs <= PAIRS_PER_MEMBER * open_members
-        now = materialize(now.join(state.select("bucket", F.col("hub.node").alias("hub")), "bucket"), name)
-        if last:                                     # few enough: every pair across components
-            other = now.select("bucket", F.col("node").alias("b"), F.col("label").alias("b_label"))
-            pairs = now.join(other, "bucket").where("node < b and label <> b_label").select(F.col("node").alias("a"), "b")
+        # Few pairs are left, or hubs no longer bring members together.
+        last = open_pairs <= PAIRS_PER_MEMBER * open_members or (turn > 1 and open_pairs > 0.9 * before)
+        before = open_pairs
+        now = materialize(now.join(state.select("bucket", F.col("node").alias("hub")), "bucket"), name)
+        if last:
+            other = now.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "size", "reach", "label")])
+            pairs = (now.join(other, "bucket").where("node < b_node and label <> b_label")
+                        .where(f"{100 + percent} * least(reach, b_reach) >= {percent} * (size + b_size)")
+                        .select(F.col("node").alias("a"), F.col("b_node").alias("b")))
         else:
             hub = now.where("node = hub").select("bucket", F.col("label").alias("hub_label"))
             pairs = (now.join(hub, "bucket").where("label <> hub_label")
@@ -98,8 +115,23 @@ def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], n
         seen = pairs if seen is None else seen.union(pairs)
         if last:
             break
-        work = now.select("bucket", "node")
+        work = now.select("bucket", "node", "size", "reach")
         turn += 1
     if links is None:
         return members.select("node", F.col("node").alias("label")).limit(0)
     return components(links, name)
+
+
+def _regions(now: DataFrame, percent: int, name: str) -> DataFrame:
+    now = materialize(now, name)
+    first = now.groupBy("bucket").agg(F.min("node").alias("first"))
+    region = components(now.join(first, "bucket").select(F.col("node").alias("a"), F.col("first").alias("b")), name)
+    nodes = now.select("node", "size", "reach", "label").distinct().join(region.withColumnRenamed("label", "bucket"), "node")
+    return (_possible(nodes, percent, name).select(F.col("bucket").alias("region"), "node", "label"))
+
+
+def _possible(now: DataFrame, percent: int, name: str) -> DataFrame:
+    """Members that can be linked with some member of their bucket."""
+    now = materialize(now, name)
+    least = now.groupBy("bucket").agg(F.min("size").alias("least"))
+    return (now.join(least, "bucket").where(f"{100 + percent} * reach >= {percent} * (size + least)").drop("least"))

@@ -3,11 +3,15 @@
 1. Every text becomes its set of word shingles (64-bit fingerprints); documents with
    the same set form one class, found by a 128-bit fingerprint of the set.
 2. One MinHash signature per class; bands of it are hash buckets.
-3. Members of a bucket are compared with hubs (see ``components``), so a bucket never
-   emits all its pairs.  A candidate pair compares its signatures batch by batch: with
+3. Members of a bucket are compared with hubs, and members with too many shingles that
+   no other candidate has are set aside (see ``components``), so a bucket never emits all
+   its pairs.  A candidate pair compares its signatures batch by batch: with
    m of n positions equal, and a uniform prior, P(similarity >= t) is the binomial
    P(Bin(n + 1, t) <= m); the pair is dropped once that is below ``miss``.
 4. Survivors are verified on their full shingle sets, made again from the whole texts.
+   Where a region of buckets still holds several components after the hubs, the nodes
+   outside its largest one meet the others in blocks, which go through the same steps
+   and return at most one link for each node and component.
 5. Verified links are joined to components by distributed union-find.
 
 Defined results.  A null or empty text, or one without words, has no shingles and is
@@ -34,6 +38,7 @@ from offerlake.llm.spark import arrow_batches, ids, materialize
 
 BANDS, ROWS = 30, 5           # P(pair at 0.8 shares no band) = (1 - 0.8**5)**30 = 7e-6
 BATCH = 30                    # signature positions compared at a time
+LEFT, RIGHT = 512, 1024       # nodes of a block of one region that meet in one group
 MISS = 1e-5                   # chance at which a pair is given up
 _rng = np.random.default_rng(77)
 _XOR = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -107,6 +112,17 @@ def _buckets(batches):
         yield pa.RecordBatch.from_arrays([pa.array(keys), node], names=["bucket", "node"])
 
 
+def _shingle_rows(size: int):
+    def run(batches):
+        for batch in batches:
+            data, bounds = W.texts(batch.column("text"))
+            for i, j in W.pieces(bounds):
+                values, at = shingle_sets(data[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], size)
+                number = batch.column("number").slice(i, j - i).take(pa.array(np.repeat(np.arange(j - i), np.diff(at))))
+                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), number], names=["shingle", "number"])
+    return run
+
+
 def least_matches(n: int, threshold: float, miss: float) -> int:
     """Fewest equal positions of n at which P(similarity >= threshold) is still >= miss."""
     total = 0.0
@@ -163,6 +179,61 @@ def _confirm(size: int, percent: int):
     return run
 
 
+def _common(lv, lat, rv, rat) -> np.ndarray:
+    """Sizes of the common parts of all left and right sets, by blocks of shared shingles."""
+    out = np.zeros((len(lat) - 1, len(rat) - 1), np.float32)
+    shared = np.intersect1d(lv, rv)
+    lrow, rrow = np.repeat(np.arange(len(lat) - 1), np.diff(lat)), np.repeat(np.arange(len(rat) - 1), np.diff(rat))
+    lcol, rcol = np.searchsorted(shared, lv), np.searchsorted(shared, rv)
+    lok, rok = np.isin(lv, shared), np.isin(rv, shared)
+    for lo in range(0, len(shared), 4096):
+        x, y = np.zeros((len(lat) - 1, 4096), np.float32), np.zeros((len(rat) - 1, 4096), np.float32)
+        li, ri = lok & (lcol >= lo) & (lcol < lo + 4096), rok & (rcol >= lo) & (rcol < lo + 4096)
+        x[lrow[li], lcol[li] - lo] = 1
+        y[rrow[ri], rcol[ri] - lo] = 1
+        out += x @ y.T
+    return out
+
+
+def _compare(size: int, percent: int, miss: float):
+    """Links between some nodes and some others of one region: one for each node and label."""
+    n = BANDS * ROWS
+    need = [(e, least_matches(e, percent / 100, miss)) for e in range(BATCH, n + 1, BATCH)]
+
+    def side(table):
+        data, bounds = W.texts(table.column("text"))
+        values, at = shingle_sets(data, bounds, size)
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, n)
+        return values, at, np.diff(at), sig
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        a, b = [], []
+        if left.num_rows and right.num_rows:
+            lv, lat, ln, lsig = side(left)
+            rv, rat, rn, rsig = side(right)
+            code = {x: i for i, x in enumerate(dict.fromkeys(left.column("label").to_pylist() + right.column("label").to_pylist()))}
+            llab, rlab = (np.array([code[x] for x in t.column("label").to_pylist()]) for t in (left, right))
+            total = ln[:, None] + rn[None, :]
+            alive = (llab[:, None] != rlab[None, :]) & ((100 + percent) * np.minimum(ln[:, None], rn[None, :]) >= percent * total)
+            equal, done = np.zeros(alive.shape, np.int16), 0
+            for e, least in need:
+                for k in range(done, e):
+                    equal += lsig[:, k][:, None] == rsig[:, k][None, :]
+                alive &= equal >= least
+                done = e
+                if not alive.any():
+                    break
+            if alive.any():
+                common = _common(lv, lat, rv, rat)
+                link = alive & (100 * common >= percent * (total - common))
+                for i in np.flatnonzero(link.any(1)):
+                    _, first = np.unique(rlab[link[i]], return_index=True)
+                    for j in np.flatnonzero(link[i])[first]:
+                        a.append(left.column("node")[i].as_py()), b.append(right.column("node")[j].as_py())
+        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+    return run
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80, miss: float = MISS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
@@ -177,7 +248,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows = docs.mapInArrow(_describe(shingle), f"doc_id {id_type}, h bigint, n_shingles bigint, node binary, sig binary, bands binary")
     rows = materialize(rows, "minhash-rows")
     reps = (rows.where("n_shingles > 0").groupBy("node")
-                .agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"),
+                .agg(F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"),
                      F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("rep")))
     reps = materialize(reps, "minhash-classes")
     buckets = reps.select("node", "bands").mapInArrow(_buckets, "bucket bigint, node binary")
@@ -187,16 +258,41 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     asked = materialize(members.select("node").distinct().join(reps.select("node", "rep.doc_id", "rep.h"), "node")
                                .select("node", F.col("doc_id").alias("rep_id"), F.col("h").alias("rep_h")), "minhash-asked")
     found = ids(docs, "h", "inner", asked, "rep_h", asked.count(), 64).where("doc_id <=> rep_id")
-    texts = materialize(found.select("node", "text").dropDuplicates(["node"]), "minhash-texts")
+    texts = materialize(found.select("node", "text").dropDuplicates(["node"])
+                             .withColumn("number", F.monotonically_increasing_id()), "minhash-texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         sig = reps.select("node", "sig")
         with_sig = (pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b"))
         open_pairs = materialize(with_sig.mapInArrow(_prune(percent / 100, miss), "a binary, b binary"), "minhash-open")
-        with_text = (open_pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b"))
+        with_text = (open_pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
         return with_text.mapInArrow(_confirm(shingle, percent), "a binary, b binary")
 
-    label = link_members(members, verify, "minhash")
+    def sweep(nodes: DataFrame) -> DataFrame:
+        # Nodes outside their region's largest component meet all others, block by block.
+        size = nodes.groupBy("region", "label").agg(F.count("*").alias("n"))
+        main = size.groupBy("region").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n"))
+        main = materialize(main.where("n > 2").select("region", "main.label", "n"), "minhash-regions")   # two were compared
+        rows = materialize(nodes.join(main.select("region", F.col("label").alias("main"), "n"), "region")
+                                .join(texts.select("node", "text"), "node").join(reps.select("node", "sig"), "node"), "minhash-sweep")
+        deal = F.xxhash64("node")
+        cols = ["region", "l", "r", "node", "label", "text", "sig"]
+        lblocks, rblocks = F.expr(f"cast(ceil(n / {LEFT}) as int)"), F.expr(f"cast(ceil(n / {RIGHT}) as int)")
+        left = (rows.where("label <> main").withColumn("l", F.pmod(deal, lblocks).cast("int"))
+                    .withColumn("r", F.explode(F.sequence(F.lit(0), rblocks - 1))))
+        right = (rows.withColumn("r", F.pmod(deal, rblocks).cast("int"))
+                     .withColumn("l", F.explode(F.sequence(F.lit(0), lblocks - 1))))
+        key = ["region", "l", "r"]
+        return (left.select(cols).groupBy(*key).cogroup(right.select(cols).groupBy(*key))
+                    .applyInArrow(_compare(shingle, percent, miss), "a binary, b binary"))
+
+    # How many shingles of a candidate no other candidate has.
+    alone = (texts.select("text", "number").mapInArrow(_shingle_rows(shingle), "shingle bigint, number bigint")
+                    .groupBy("shingle").agg(F.count("*").alias("n"), F.min("number").alias("number")).where("n = 1")
+                    .groupBy("number").agg(F.count("*").alias("alone")))
+    sizes = (texts.select("node", "number").join(alone, "number", "left").join(reps.select("node", "size"), "node")
+                    .select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("reach")))
+    label = link_members(members.join(materialize(sizes, "minhash-sizes"), "node"), verify, percent, "minhash", sweep)
     rows = (rows.select("doc_id", "n_shingles", "node").join(label, "node", "left")
                 .withColumn("part", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node"))))
     least = rows.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
