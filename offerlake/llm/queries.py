@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.llm import ann, mixing, quality_crf, secret_scan, toxicity, url_filter
+from offerlake.llm import ann, line_dedup, mixing, pieces, quality_crf, secret_scan, toxicity, url_filter
 from offerlake.llm.minhash_dedup import near_duplicates
 from offerlake.llm.spark import read
 from offerlake.llm.sql import ORACLES  # noqa: F401
@@ -15,6 +15,11 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return out.select("row.doc_id", "text", "n_lines", "n_removed")
+
+
 def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return quality_crf.judge(docs, quality_crf.train(docs, read(spark, sf_dir, "labels")))
@@ -29,6 +34,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"), rules)
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(read(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read(spark, sf_dir, "documents"))
 
@@ -42,4 +51,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op3_quality_crf, op4_secret_scan, op5_url_filter, op8_mixing, op9_ann, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_line_dedup, op3_quality_crf, op4_secret_scan, op5_url_filter, op7_sentencepiece, op8_mixing, op9_ann, op10_toxicity)}
