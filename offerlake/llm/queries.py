@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.llm import ann, line_dedup, mixing, pieces, quality_crf, secret_scan, toxicity, url_filter
+from offerlake.llm import ann, line_dedup, mixing, pieces, quality_crf, secret_scan, surrogates, toxicity, url_filter
 from offerlake.llm.minhash_dedup import near_duplicates
 from offerlake.llm.spark import read
 from offerlake.llm.sql import ORACLES  # noqa: F401
 
+# A deployment passes its own secret; the catalogue's runs have to agree with each other.
+SURROGATE_KEY = b"catalogue"
+
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
@@ -34,6 +37,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"), rules)
 
 
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.replace(read(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(read(spark, sf_dir, "documents"))
 
@@ -51,4 +58,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_line_dedup, op3_quality_crf, op4_secret_scan, op5_url_filter, op7_sentencepiece, op8_mixing, op9_ann, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_line_dedup, op3_quality_crf, op4_secret_scan, op5_url_filter, op6_pii_surrogates, op7_sentencepiece, op8_mixing, op9_ann, op10_toxicity)}
