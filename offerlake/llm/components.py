@@ -49,16 +49,19 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                       .union(low.select("u", F.col("m").alias("v"))).distinct())
-        small = materialize(small, name)
-        if _digest(small) == _digest(edges):
+        edges = materialize(small, name)
+        if _stars(edges):
             break
-        edges = small
     roots = edges.select("v").distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(roots.select("v", F.col("v")))
 
 
-def _digest(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """Does every node have one edge down, or only edges from above?"""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("root")).union(
+        edges.select(F.col("v"), F.lit(0), F.lit(1)))
+    ends = ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("root").alias("root"))
+    return ends.where("down > 1 or down = 1 and root = 1").limit(1).count() == 0
 
 
 def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int, name: str = "links",
@@ -78,13 +81,14 @@ def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], p
             label = components(links, name)
             now = (work.join(label, "node", "left")
                        .select("bucket", "node", "size", "reach", F.coalesce("label", "node").alias("label")))
-        now = _possible(now, percent, name)
+        if turn and sweep is None:
+            now = _possible(now, percent, name)
         # Hubs first by the share of the set that others have: the least edited copy.
-        order = (F.col("reach") / F.col("size") if turn == 0 else F.lit(0.0), F.xxhash64("node", F.lit(turn)), "node")
+        order = (F.col("reach") / F.col("size") if turn == 0 else F.lit(0.0), F.xxhash64("node", F.lit(turn)), "node", "label")
         state = (now.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.max(F.struct(*order)).alias("hub"))
                     .groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"),
                                            F.count("*").alias("parts"), F.max("hub").alias("hub"))
-                    .where("parts > 1").select("bucket", "n", "within", "hub.node"))
+                    .where("parts > 1").select("bucket", "n", "within", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label")))
         state = materialize(state, name)
         if sweep is not None and turn:
             now = now.join(state.select("bucket"), "bucket", "left_semi")
@@ -94,18 +98,19 @@ def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], p
         if not open_members:
             break
         # Few pairs are left, or hubs no longer bring members together.
-        last = open_pairs <= PAIRS_PER_MEMBER * open_members or (turn > 1 and open_pairs > 0.9 * before)
+        # With a sweep, one round of hubs comes first and the sweep does the rest.
+        last = sweep is None and (open_pairs <= PAIRS_PER_MEMBER * open_members or turn > 1 and open_pairs > 0.9 * before)
         before = open_pairs
-        now = materialize(now.join(state.select("bucket", F.col("node").alias("hub")), "bucket"), name)
+        now = now.join(state.select("bucket", "hub", "hub_label"), "bucket")
+        if last or sweep is None:
+            now = materialize(now, name)
         if last:
             other = now.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "size", "reach", "label")])
             pairs = (now.join(other, "bucket").where("node < b_node and label <> b_label")
                         .where(f"{100 + percent} * least(reach, b_reach) >= {percent} * (size + b_size)")
                         .select(F.col("node").alias("a"), F.col("b_node").alias("b")))
         else:
-            hub = now.where("node = hub").select("bucket", F.col("label").alias("hub_label"))
-            pairs = (now.join(hub, "bucket").where("label <> hub_label")
-                        .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")))
+            pairs = now.where("label <> hub_label").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
         pairs = pairs.distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
@@ -123,7 +128,6 @@ def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], p
 
 
 def _regions(now: DataFrame, percent: int, name: str) -> DataFrame:
-    now = materialize(now, name)
     first = now.groupBy("bucket").agg(F.min("node").alias("first"))
     region = components(now.join(first, "bucket").select(F.col("node").alias("a"), F.col("first").alias("b")), name)
     nodes = now.select("node", "size", "reach", "label").distinct().join(region.withColumnRenamed("label", "bucket"), "node")
@@ -132,6 +136,5 @@ def _regions(now: DataFrame, percent: int, name: str) -> DataFrame:
 
 def _possible(now: DataFrame, percent: int, name: str) -> DataFrame:
     """Members that can be linked with some member of their bucket."""
-    now = materialize(now, name)
     least = now.groupBy("bucket").agg(F.min("size").alias("least"))
     return (now.join(least, "bucket").where(f"{100 + percent} * reach >= {percent} * (size + least)").drop("least"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from offerlake.llm import ann, line_dedup, mixing, pieces, quality_crf, secret_scan, surrogates, toxicity, url_filter
 from offerlake.llm.minhash_dedup import near_duplicates
 from offerlake.llm.spark import read
@@ -58,4 +59,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_line_dedup, op3_quality_crf, op4_secret_scan, op5_url_filter, op6_pii_surrogates, op7_sentencepiece, op8_mixing, op9_ann, op10_toxicity)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_line_dedup, op3_quality_crf, op4_secret_scan, op5_url_filter, op6_pii_surrogates, op7_sentencepiece, op8_mixing, op9_ann, op10_toxicity, pipeline)}
