@@ -29,7 +29,7 @@ OP5 = rf"""
 WITH p AS (
   SELECT page_id,
          translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{A_Z}', '{A_Z.lower()}') AS host,
-         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*(/[^?#]*)', 1), '') AS path
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages),
 r(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
   ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
