@@ -23,8 +23,9 @@ NOT_SPECIFIED = "Non précisé"
 def normalize_remote(v: Column, json_type: Column | None = None) -> Column:
     """Map a remote label; unknown values pass through, null stays null.
 
-    ``json_type`` is the raw JSON type of the value ('BOOLEAN' or 'STRING')
-    when known: a JSON ``false`` is falsy (-> null) and ``true`` reads 'True'.
+    ``json_type`` is the raw JSON type of the value ('BOOLEAN', 'STRING' or a
+    numeric type) when known: a JSON ``false`` or a numeric zero is falsy
+    (-> null) and ``true`` reads 'True'.
     """
     m = F.create_map(*[x for k, lab in REMOTE.items() for x in (F.lit(k), F.lit(lab))])
     hit = m[F.lower(v)]
@@ -34,6 +35,7 @@ def normalize_remote(v: Column, json_type: Column | None = None) -> Column:
         is_bool = json_type == "BOOLEAN"
         out = (F.when(is_bool & (F.lower(v) == "true"), F.lit("True"))
                .when(is_bool, F.lit(None).cast("string"))
+               .when((json_type != "STRING") & (v.try_cast("double") == 0), F.lit(None).cast("string"))
                .otherwise(out))
     return out
 

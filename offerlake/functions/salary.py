@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from offerlake.functions.text import DIGIT
+from offerlake.functions.text import DIGIT, SPACE
 
 # The annualisation assumptions, exchange rate and plausible band.
 ANNUAL_MULT = {"yearly": 1, "monthly": 12, "daily": 218, "hourly": 1820}
@@ -66,13 +66,22 @@ def parse_salary_fr(text: Column) -> Column:
     return F.when(text.isNotNull() & (text != ""), let(cleaned, from_text))
 
 
+# What counts as a number once separators are normalised: digits with single
+# underscores between them, an optional fraction and exponent; no type suffix.
+_DIGITS = r"[0-9]+(?:_[0-9]+)*"
+NUMBER_RE = rf"^[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity|nan))$"
+
+
 def to_number(v: Column) -> Column:
     """Structured amount (number kept as text, or text like "45 000") -> double.
 
-    ASCII spaces are removed and a comma becomes the decimal point; anything
-    that still is not a number gives null.
+    ASCII spaces are removed, a comma becomes the decimal point and other
+    white space at either end falls away; anything that still is not a number
+    gives null.
     """
-    return F.translate(F.regexp_replace(v, " ", ""), ",", ".").try_cast("double")
+    s = F.translate(F.regexp_replace(v, " ", ""), ",", ".")
+    s = F.regexp_replace(s, rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.when(s.rlike(NUMBER_RE), F.regexp_replace(s, "_", "").try_cast("double"))
 
 
 def _annual_bound(v: Column, factor: Column) -> Column:

@@ -1,7 +1,7 @@
 """Text normalisation: accent folding, slugs, title tokens, blanks, redaction.
 
 All functions take and return ``Column`` objects built from Spark's built-in
-functions, so they stay inside whole-stage codegen.
+functions; no Python runs on the data.
 """
 
 from __future__ import annotations
@@ -28,19 +28,16 @@ PHONE_RE = rf"(?<![{WORD}])(?:\+33|0)[{SPACE}]*[{DIGIT}](?:[{SPACE}.\-]?[{DIGIT}
 
 
 @functools.lru_cache(maxsize=1)
-def fold_tables() -> tuple[str, str]:
-    """Translate tables for "lower-case, NFD, drop non-spacing marks".
-
-    Generated by rule from ``unicodedata`` over the Basic Multilingual Plane:
-    a code point whose folded form is one character is mapped, one whose
-    folded form is empty is deleted.  Code points that decompose into several
-    base characters (mostly Hangul syllables) are left unchanged.
-    """
-    src, dst, dele = [], [], []
-    for cp in range(0x10000):
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
+def fold_tables() -> tuple[str, str, dict[str, str]]:
+    """Tables for "NFD, then drop non-spacing marks", made by rule from ``unicodedata``
+    over all of Unicode: ``translate`` arguments for the code points that become one
+    character or vanish, and those that become several.  Hangul syllables are left out;
+    they are decomposed by arithmetic."""
+    src, dst, dele, several = [], [], [], {}
+    for cp in range(0x110000):
         ch = chr(cp)
+        if 0xD800 <= cp <= 0xDFFF or 0xAC00 <= cp <= 0xD7A3:
+            continue
         out = "".join(c for c in unicodedata.normalize("NFD", ch)
                       if unicodedata.category(c) != "Mn")
         if out == ch:
@@ -50,14 +47,38 @@ def fold_tables() -> tuple[str, str]:
         elif len(out) == 1:
             src.append(ch)
             dst.append(out)
+        else:
+            several[ch] = out
     # translate(): characters of `src` beyond the length of `dst` are deleted.
-    return "".join(src + dele), "".join(dst)
+    return "".join(src + dele), "".join(dst), several
+
+
+def _jamo(c: Column) -> Column:
+    """One Hangul syllable as its two or three letters."""
+    n = F.ascii(c) - 0xAC00
+    unit = lambda x: F.lpad(F.hex(x), 4, "0")
+    tail = n % 28
+    parts = F.concat(unit(F.lit(0x1100) + F.floor(n / 588)),
+                     unit(F.lit(0x1161) + F.floor((n % 588) / 28)),
+                     F.when(tail > 0, unit(F.lit(0x11A7) + tail)).otherwise(F.lit("")))
+    return F.decode(F.unhex(parts), "UTF-16BE")
+
+
+def strip_accents(c: Column) -> Column:
+    """Canonical decomposition without non-spacing marks, for any Unicode text."""
+    src, dst, several = fold_tables()
+    rare = c
+    for ch, out in several.items():
+        rare = F.replace(rare, F.lit(ch), F.lit(out))
+    rare = F.array_join(F.transform(F.split(rare, ""), lambda x: F.when(x.between("\uac00", "\ud7a3"), _jamo(x)).otherwise(x)), "")
+    # Characters that become several are rare: only their rows take the long way.
+    some = c.rlike("[\uac00-\ud7a3" + "".join(several) + "]")
+    return F.translate(F.when(some, rare).otherwise(c), src, dst)
 
 
 def fold_accents(c: Column) -> Column:
     """Lower-case and strip combining accents (``é`` -> ``e``)."""
-    src, dst = fold_tables()
-    return F.translate(F.lower(c), src, dst)
+    return strip_accents(F.lower(c))
 
 
 def slug(c: Column) -> Column:
@@ -74,7 +95,7 @@ def title_tokens(c: Column) -> Column:
     # empty pieces at either end fall to the length filter.
     toks = F.split(fold_accents(c), "[^a-z0-9]+")
     kept = F.filter(toks, lambda t: (F.length(t) > 1) & ~t.isin(list(STOP_WORDS)))
-    return F.coalesce(F.array_sort(F.array_distinct(kept)), F.array().cast("array<string>"))
+    return F.coalesce(F.sort_array(F.array_distinct(kept)), F.array().cast("array<string>"))
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -1,63 +1,40 @@
 """Surrogate keys equal to ``row_number() OVER (ORDER BY key)`` without a
 single-partition sort.
 
-The distinct keys are cut into ordered buckets by sampled boundaries; each
-bucket is numbered on its own (one task per bucket) and shifted by the number
-of keys in all earlier buckets.  Bucket assignment is a pure function of the
-key, so the counting pass and the numbering pass agree without materialising
-anything in between.
+The distinct keys are range-partitioned by Spark, sorted inside their
+partition and written once together with a number that holds the partition
+and the place in it.  Counts per partition (one row per partition) shift each
+partition by the number of keys in all earlier ones.  There is one path for
+every size, and no key ever reaches the driver.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BUCKET = 2_000_000   # keys numbered by one task
-MAX_BUCKETS = 4_096           # boundaries kept on the driver: bounded
-SAMPLE_PER_BUCKET = 64
-
+from offerlake.session import materialize
 
-def _boundaries(keys: DataFrame, col: str, n: int, buckets: int) -> list:
-    frac = min(1.0, SAMPLE_PER_BUCKET * buckets / max(n, 1))
-    sample = sorted(r[0] for r in keys.sample(False, frac, seed=17).collect())
-    if len(sample) < 2:
-        return []
-    step = len(sample) / buckets
-    cuts = sorted({sample[min(len(sample) - 1, int(math.ceil(i * step)))] for i in range(1, buckets)})
-    return cuts
 
+def in_order(df: DataFrame, by: list, name: str) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``by``, written once, with its partition ``__b``
+    and its place ``__i`` (from 0) in it; partitions follow the order."""
+    out = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__at", F.monotonically_increasing_id())
+    out = materialize(out, name)
+    # Upper 31 bits: the partition, lower 33 bits: the place in it.
+    return (out.withColumn("__b", F.shiftright("__at", 33))
+               .withColumn("__i", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))).drop("__at"))
 
-def surrogate_key(df: DataFrame, key: str, name: str, *, non_null: bool = True,
-                  rows_per_bucket: int = ROWS_PER_BUCKET, n_keys: int | None = None) -> DataFrame:
-    """Distinct values of ``key`` with ``name`` = 1..N in ascending key order (bigint).
 
-    ``n_keys`` (the number of distinct keys, if already known) only sizes the
-    buckets; it saves the counting job.
-    """
+def surrogate_key(df: DataFrame, key: str, name: str, *, non_null: bool = True) -> DataFrame:
+    """Distinct values of ``key`` with ``name`` = 1..N in ascending key order (bigint)."""
     keys = df.select(key)
     if non_null:
         keys = keys.where(F.col(key).isNotNull())
-    keys = keys.distinct()
-    n = keys.count() if n_keys is None else n_keys
-    buckets = max(1, min(MAX_BUCKETS, math.ceil(n / rows_per_bucket)))
-    cuts = _boundaries(keys, key, n, buckets) if buckets > 1 else []
-    if cuts:
-        arr = F.array(*[F.lit(c) for c in cuts])
-        bucket = F.size(F.filter(arr, lambda b: b <= F.col(key)))
-    else:
-        bucket = F.lit(0)
-    keyed = keys.withColumn("__b", bucket)
-    if not cuts:   # one bucket: offsets are all zero
-        w1 = Window.partitionBy("__b").orderBy(F.col(key).asc_nulls_first())
-        return keyed.select(F.row_number().over(w1).cast("bigint").alias(name), key)
-    # Keys per bucket -> offset of each bucket (at most MAX_BUCKETS rows).
-    per = keyed.groupBy("__b").agg(F.count(F.lit(1)).alias("__cnt"))
-    offsets = per.select("__b", (F.sum("__cnt").over(
-        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
-    offsets = offsets.fillna(0, subset=["__off"])
-    w = Window.partitionBy("__b").orderBy(F.col(key).asc_nulls_first())
-    return (keyed.join(F.broadcast(offsets), "__b")
-                 .select((F.col("__off") + F.row_number().over(w)).cast("bigint").alias(name), key))
+    placed = in_order(keys.distinct(), [F.col(key).asc_nulls_first()], "surrogate-key")
+    # One row per partition: bounded by the shuffle partitions, and broadcast.
+    sizes = placed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = sizes.select(F.col("__b").alias("__p"), F.coalesce(F.sum("__n").over(
+        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    return (placed.join(F.broadcast(offsets), F.col("__b") == F.col("__p"))
+                  .select((F.col("__off") + F.col("__i") + 1).cast("bigint").alias(name), key))

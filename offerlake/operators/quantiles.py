@@ -2,28 +2,22 @@
 
 ``percentile`` merges, per group, a map with one entry per distinct value in
 a single task.  That is fine for a bounded value domain (rounded salaries);
-for an unbounded one a hot group would sit in one task.  Here the distinct
-(group, value, frequency) rows are cut into ordered buckets by sampled
-boundaries on (group, value).  A group may span many buckets and each bucket
-is one task.  Running counts inside a bucket plus the counts of the group's
-earlier buckets give every value its rank interval; the values at the ranks
-the quantiles need are then picked and interpolated linearly (continuous
-quantile, as ``quantile_cont``).
+for an unbounded one a hot group would sit in one task.  Here Spark
+range-partitions the distinct (group, value, frequency) rows; a group may span
+many partitions.  Running counts inside a partition plus the counts of the
+group's earlier partitions give every value its rank interval; the values at
+the ranks the quantiles need are then picked and interpolated linearly
+(continuous quantile, as ``quantile_cont``).  One path serves every size.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerlake.session import materialize
-
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4_096
-SAMPLE_PER_BUCKET = 64
+from offerlake.operators.keys import in_order
 
 
 def _eq(keys: Sequence[str], left: str, right: str):
@@ -33,49 +27,23 @@ def _eq(keys: Sequence[str], left: str, right: str):
     return cond
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], *,
-                    rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
     """keys + ``n`` + one double column per entry of ``probs`` (name -> p)."""
     keys = list(keys)
     freq = (df.where(F.col(value).isNotNull())
               .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__f")))
-    freq = materialize(freq, "quantile-freq")          # read by four passes below
-    rows = freq.count()
-    buckets = max(1, min(MAX_BUCKETS, math.ceil(rows / rows_per_bucket)))
-    order = F.struct(*[F.col(k) for k in keys], F.col(value))
-    if buckets > 1:
-        frac = min(1.0, SAMPLE_PER_BUCKET * buckets / rows)
-        sample = [r[0] for r in freq.sample(False, frac, seed=23).select(order.alias("o"))
-                  .orderBy(*[F.col(f"o.{k}").asc_nulls_first() for k in keys], F.col(f"o.{value}")).collect()]
-        step = len(sample) / buckets
-        cuts = []
-        for i in range(1, buckets):
-            c = sample[min(len(sample) - 1, int(math.ceil(i * step)))]
-            if not cuts or c != cuts[-1]:
-                cuts.append(c)
-        arr = F.array(*[F.struct(*[F.lit(getattr(c, k)).cast(freq.schema[k].dataType).alias(k) for k in keys],
-                                 F.lit(getattr(c, value)).cast(freq.schema[value].dataType).alias(value))
-                        for c in cuts])
-        bucket = F.size(F.filter(arr, lambda b: b <= order))
-    else:
-        bucket = F.lit(0)
-    fb = freq.withColumn("__b", bucket)
+    fb = in_order(freq, [F.col(c).asc_nulls_first() for c in [*keys, value]], "quantile-freq").drop("__i")
     w = Window.partitionBy("__b", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    if buckets == 1:
-        # One bucket (at most ROWS_PER_BUCKET distinct rows): no offsets.
-        ranked = (fb.withColumn("__off", F.lit(0).cast("bigint"))
-                    .withColumn("n", F.sum("__f").over(Window.partitionBy("__b", *keys))))
-    else:
-        # Per (bucket, group) totals: at most buckets x groups rows.
-        per = fb.groupBy("__b", *keys).agg(F.sum("__f").alias("__s"))
-        gw = Window.partitionBy(*keys)
-        per = (per.withColumn("__off", F.coalesce(F.sum("__s").over(
-                    gw.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                  .withColumn("n", F.sum("__s").over(gw)))
-        ranked = (fb.alias("a").join(per.alias("p"), _eq(["__b"] + keys, "a", "p"))
-                    .select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col(f"a.{value}").alias(value),
-                            F.col("a.__f").alias("__f"), F.col("a.__b").alias("__b"),
-                            F.col("p.__off").alias("__off"), F.col("p.n").alias("n")))
+    # Per (partition, group) totals: at most partitions + groups rows.
+    per = fb.groupBy("__b", *keys).agg(F.sum("__f").alias("__s"))
+    gw = Window.partitionBy(*keys)
+    per = (per.withColumn("__off", F.coalesce(F.sum("__s").over(
+                gw.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+              .withColumn("n", F.sum("__s").over(gw)))
+    ranked = (fb.alias("a").join(per.alias("p"), _eq(["__b"] + keys, "a", "p"))
+                .select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col(f"a.{value}").alias(value),
+                        F.col("a.__f").alias("__f"), F.col("a.__b").alias("__b"),
+                        F.col("p.__off").alias("__off"), F.col("p.n").alias("n")))
     ranked = ranked.withColumn("__end", F.col("__off") + F.sum("__f").over(w))
     ranked = ranked.withColumn("__start", F.col("__end") - F.col("__f"))
     # Ranks (0-based) each quantile needs: floor and ceil of (n - 1) p.

@@ -43,17 +43,8 @@ def valid(stg: DataFrame) -> DataFrame:
 
 def dimensions(v: DataFrame) -> dict[str, DataFrame]:
     """The eight dimensions, keys numbered in natural-key order."""
-    # Distinct key counts of all dimensions in one pass (they only size the
-    # numbering buckets); approximate counts are enough for that.
     day = F.when(F.col("date_is_precise") & F.col("posted_date").isNotNull(), F.col("posted_date").cast("date"))
-    cols = {"contract": F.col("contract"), "remote": F.col("remote"), "profession": F.col("profession"),
-            "company": F.col("company"), "exp_bucket": F.col("exp_bucket"), "education": F.col("education"),
-            "city": F.col("city"), "jour": day}
-    sizes = v.agg(*[F.approx_count_distinct(c).alias(k) for k, c in cols.items()]).first().asDict()
-
-    def sk(df: DataFrame, key: str, name: str) -> DataFrame:
-        return keys.surrogate_key(df, key, name, n_keys=int(sizes[key] * 1.05) + 1)
-
+    sk = keys.surrogate_key
     dims = {
         "dim_contrat": sk(v, "contract", "contrat_key"),
         "dim_remote": sk(v, "remote", "remote_key"),
@@ -68,7 +59,7 @@ def dimensions(v: DataFrame) -> dict[str, DataFrame]:
                         .select("lieu_key", "city", "departement", "is_idf"))
     days = v.select(day.alias("jour")).where(F.col("jour").isNotNull())
     dims["dim_date"] = sk(days, "jour", "date_key").select(
-        "date_key", "jour", F.date_format("jour", "yyyy-MM").alias("mois"), F.year("jour").alias("annee"))
+        "date_key", "jour", F.date_format("jour", "yyyy-MM").alias("mois"), F.year("jour").cast("bigint").alias("annee"))
     return dims
 
 

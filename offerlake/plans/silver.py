@@ -13,7 +13,7 @@ from offerlake.functions import dates, geo, labels, salary, skills, text
 from offerlake.operators.aggregates import side_by_side
 from offerlake.operators.star import spread_null_key
 from offerlake.schemas import FEED_A_RECORD, FEED_B_RECORD, OPTIONAL_TEXT_COLUMNS, SILVER, SILVER_COLUMNS
-from offerlake.sources.feeds import twin_urls
+from offerlake.sources.feeds import require, twin_urls
 
 
 def _remote(o: str = "o") -> Column:
@@ -38,8 +38,27 @@ def _finish(df: DataFrame, run_date: str) -> DataFrame:
                        for f in SILVER.fields])
 
 
+# Record fields that are text (or null) in each feed.
+TEXT_A = ("url", "applyUrl", "name", "city", "contract", "exp", "edu", "salPer", "salCur", "date")
+TEXT_B = ("jk", "url", "title", "company", "city", "loc", "date", "salary", "snippet", "kw")
+
+
+def typed_records(rows: DataFrame, texts: tuple[str, ...], whole: tuple[str, ...] = ()) -> DataFrame:
+    """``rows``, whose job stops at a record that is not an object or whose fields have
+    another type: ``texts`` are strings or null, ``whole`` integers (or their text) or null."""
+    v = F.try_parse_json("raw")
+    ok = F.col("raw").rlike(r"^\s*\{")
+    for f in texts:
+        kind = F.schema_of_variant(F.try_variant_get(v, f"$.{f}", "variant"))
+        ok = ok & F.coalesce(kind.isin("STRING", "VOID"), F.lit(True))
+    for f in whole:
+        ok = ok & F.coalesce(F.try_variant_get(v, f"$.{f}", "string").rlike(r"^\s*[+-]?\d+(\.0*)?\s*$"), F.lit(True))
+    return require(rows, "raw", ok, "record of another type")
+
+
 def conform_a(rows: DataFrame, run_date: str) -> DataFrame:
     """Feed A (structured) -> silver columns."""
+    rows = typed_records(rows, TEXT_A, ("status",))
     r = rows.select("pos", "raw", F.from_json("raw", FEED_A_RECORD).alias("o"))
     o = lambda c: F.col(f"o.{c}")
     ann = salary.annualize(salary.to_number(o("salMin")), salary.to_number(o("salMax")),
@@ -74,6 +93,7 @@ def conform_a(rows: DataFrame, run_date: str) -> DataFrame:
 
 def conform_b(rows: DataFrame, twins: DataFrame, run_date: str) -> tuple[DataFrame, DataFrame]:
     """Feed B (free text) -> (silver columns, salary rejects)."""
+    rows = typed_records(rows, TEXT_B)
     r = rows.select("pos", "raw", F.from_json("raw", FEED_B_RECORD).alias("o"))
     o = lambda c: F.col(f"o.{c}")
     offer_id = F.concat(F.lit("IND_"), text.falsy_default(o("jk"), F.col("pos").cast("string")))

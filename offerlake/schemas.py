@@ -50,11 +50,12 @@ FEED_B_RECORD = T.StructType([
 # Landed bronze rows: position in the source document, the key (keyed
 # objects) and the record's raw JSON text.
 BRONZE_ROWS = T.StructType([
-    T.StructField("pos", T.IntegerType(), False),
+    T.StructField("pos", T.LongType(), False),
     T.StructField("key", T.StringType()),
     T.StructField("raw", T.StringType()),
 ])
 
+# Fixed values.
 SILVER_COLUMNS = [
     "offer_id", "source", "url", "apply_url", "title", "company", "city",
     "departement", "is_idf", "profession", "kw", "contract", "experience",
@@ -100,10 +101,12 @@ REJECTS = T.StructType([
 ])
 
 # Columns where a whitespace-only string means "absent".
+# Fixed values.
 OPTIONAL_TEXT_COLUMNS = (
     "title", "url", "apply_url", "company", "city", "profession", "kw",
     "experience", "education", "sal_source_period", "posted_date",
 )
 
+# Fixed values.
 SOURCES = ("WTTJ", "Indeed")
 EXP_BUCKETS = ("Junior (< 3 ans)", "Confirmé (3-5 ans)", "Senior (5+ ans)", "Autre", "Non précisé")

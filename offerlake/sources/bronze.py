@@ -1,9 +1,10 @@
 """Immutable bronze landing, manifest and time-travel reads.
 
 Layout: ``<root>/<source>/dt=<run_date>/`` holds the exploded raw records
-(``pos``, ``key``, ``raw``) of one run.  A partition, once written, is never
-overwritten (save mode ``ignore``); later runs of the same date leave it
-untouched.  Reads filter on ``dt`` so only that partition is listed.
+(``pos``, ``key``, ``raw``) of one run.  A partition, once committed (Spark's
+``_SUCCESS`` marker is there), is never overwritten; later runs of the same date
+leave it untouched.  What a crashed run left without the marker is written anew
+by the next landing, and reading it is an error.
 """
 
 from __future__ import annotations
@@ -11,8 +12,6 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from offerlake.schemas import BRONZE_ROWS
 from offerlake.sources import feeds
@@ -24,6 +23,17 @@ def partition_path(root: str, name: str, run_date: str) -> str:
     return f"{root.rstrip('/')}/{name}/dt={run_date}"
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path in it: any store that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    fs, p = _files(spark, f"{path}/_SUCCESS")
+    return fs.exists(p)
+
+
 def land(spark: SparkSession, root: str, name: str, src: str | None, run_date: str) -> dict:
     """Land one source for ``run_date``; absent source -> ``present: False``."""
     dest = partition_path(root, name, run_date)
@@ -31,7 +41,8 @@ def land(spark: SparkSession, root: str, name: str, src: str | None, run_date: s
     if docs is None:
         return {"source": name, "path": dest, "origin": str(src), "present": False}
     rows = feeds.explode_twin_map(docs) if name == "cross_site" else feeds.explode_records(docs)
-    rows.write.mode("ignore").parquet(dest)
+    if not committed(spark, dest):
+        rows.write.mode("overwrite").parquet(dest)
     return {"source": name, "path": dest, "origin": str(src), "present": True}
 
 
@@ -50,10 +61,10 @@ def read_manifest(spark: SparkSession, root: str) -> dict:
 
 def read(spark: SparkSession, root: str, name: str, run_date: str) -> DataFrame:
     """Records of ``name`` landed for ``run_date`` (empty when never landed)."""
-    try:
-        df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
-    except AnalysisException:
-        return spark.createDataFrame([], BRONZE_ROWS)
-    if "dt" not in df.columns:
+    dest = partition_path(root, name, run_date)
+    fs, p = _files(spark, dest)
+    if not fs.exists(p):
         return spark.createDataFrame([], BRONZE_ROWS)
-    return df.where(F.col("dt").cast("string") == run_date).select("pos", "key", "raw")
+    if not committed(spark, dest):
+        raise feeds.MalformedFeedError(f"{dest} was not committed; land it again")
+    return spark.read.schema(BRONZE_ROWS).parquet(dest).select("pos", "key", "raw")

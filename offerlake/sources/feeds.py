@@ -9,24 +9,61 @@ original JSON text; typed parsing happens later, from those rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from offerlake.operators.keys import in_order
 from offerlake.schemas import BRONZE_ROWS
+from offerlake.session import materialize
 
 TWIN_URL_RE = r"(?i)indeed\."
 
 
+class MalformedFeedError(ValueError):
+    """A feed document, or a record of one, is not what its format says."""
+
+
+def missing(e: AnalysisException) -> bool:
+    """Does the error say that a path does not exist?  (Any other error is raised.)"""
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
+def _no_empty_file(spark: SparkSession, path: str) -> None:
+    """An empty file yields no row at all, so it is looked for among the file sizes."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.globStatus(p) or []:
+        for st in (fs.listStatus(found.getPath()) if found.isDirectory() else [found]):
+            if st.isFile() and st.getLen() == 0 and not st.getPath().getName().startswith(("_", ".")):
+                raise MalformedFeedError(f"feed document is not valid JSON: {st.getPath()} is empty")
+
+
 def read_documents(spark: SparkSession, path: str | None) -> DataFrame | None:
     """One row per file (``file``, ``value``); None when the path does not exist."""
     if not path:
         return None
     try:
+        _no_empty_file(spark, path)
         return (spark.read.text(path, wholetext=True)
                      .select(F.input_file_name().alias("file"), "value"))
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if missing(e):
+            return None
+        raise
+
+
+def _kind() -> Column:
+    """'[' or '{' for an array or an object, another character for any other root; a
+    document that is not valid JSON stops the job."""
+    return (F.when(F.get_json_object("value", "$").isNotNull(), F.regexp_extract("value", r"\S", 0))
+             .otherwise(F.raise_error(F.concat(F.lit("feed document is not valid JSON: "), F.col("file")))))
+
+
+def require(df: DataFrame, column: str, ok: Column, what: str) -> DataFrame:
+    """``df``, whose job fails where a value of ``column`` is not ``ok``."""
+    bad = F.raise_error(F.concat(F.lit(f"{what}: "), F.coalesce(F.substring(F.col(column), 1, 200), F.lit("null"))))
+    return df.withColumn(column, F.when(F.coalesce(ok, F.lit(False)), F.col(column)).otherwise(bad))
 
 
 def empty_rows(spark: SparkSession) -> DataFrame:
@@ -38,30 +75,31 @@ def explode_records(docs: DataFrame) -> DataFrame:
 
     ``pos`` counts records in document order across files taken in path
     order; a document whose root is neither an array nor an object yields
-    nothing.
+    nothing, one that is not valid JSON stops the job.
+
+    A key repeated in one object keeps its first position and its last value,
+    as a JSON object loaded into a dictionary does.
     """
-    arr = F.from_json("value", "array<string>")
-    obj = F.from_json("value", "map<string,string>")
+    docs = docs.withColumn("kind", _kind())
+    rows = docs.select("file", F.when(F.col("kind") == "[", F.from_json("value", "array<string>")).alias("arr"),
+                       F.when(F.col("kind") == "{", F.map_entries(F.from_json("value", "map<string,string>"))).alias("obj"))
     entries = F.coalesce(
-        F.transform(arr, lambda r: F.struct(F.lit(None).cast("string").alias("key"), r.alias("raw"))),
-        F.transform(F.map_entries(obj), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("raw"))),
+        F.transform("arr", lambda r: F.struct(F.lit(None).cast("string").alias("key"), r.alias("raw"))),
+        F.transform("obj", lambda e: F.struct(e["key"].alias("key"), e["value"].alias("raw"))),
         F.array().cast("array<struct<key:string,raw:string>>"))
-    rows = docs.select("file", F.posexplode(entries).alias("p", "e")).select(
-        "file", "p", F.col("e.key").alias("key"), F.col("e.raw").alias("raw"))
-    # A key repeated in one object keeps its first position and its last
-    # value, as a JSON object loaded into a dictionary does; positions are
-    # then renumbered within the file.
-    # (A file is either an array or an object, so only keyed rows need this.)
+    rows = rows.select("file", F.posexplode(entries).alias("p", "e")).select(
+        "file", F.col("p").cast("bigint").alias("p"), F.col("e.key").alias("key"), F.col("e.raw").alias("raw"))
+    rows = materialize(rows, "feed-records")             # each document is parsed once
     keyed = (rows.where(F.col("key").isNotNull()).groupBy("file", "key")
                  .agg(F.min("p").alias("p"), F.max_by("raw", "p").alias("raw")))
-    keyed = keyed.withColumn("p", F.row_number().over(Window.partitionBy("file").orderBy("p")) - 1)
     rows = rows.where(F.col("key").isNull()).unionByName(keyed.select("file", "p", "key", "raw"))
-    counts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("__n"))
-    # Offsets of each file (one row per file: small) so positions are global.
-    offsets = counts.select("file", F.coalesce(F.sum("__n").over(
-        Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    return (rows.join(offsets, "file")
-                .select((F.col("__off") + F.col("p")).cast("int").alias("pos"), "key", "raw"))
+    # Numbered over all files in order; no task holds a whole file.
+    placed = in_order(rows, [F.col("file"), F.col("p")], "feed-order")
+    sizes = placed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = sizes.select(F.col("__b").alias("__p"), F.coalesce(F.sum("__n").over(
+        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
+    return (placed.join(F.broadcast(offsets), F.col("__b") == F.col("__p"))     # one row per partition
+                  .select((F.col("__off") + F.col("__i")).cast("bigint").alias("pos"), "key", "raw"))
 
 
 def read_feed(spark: SparkSession, path: str | None) -> DataFrame:
@@ -75,13 +113,14 @@ def explode_twin_map(docs: DataFrame) -> DataFrame:
     Entries are those of ``byUrl`` when the root has it, else of the root
     object; any other root shape yields nothing.
     """
+    docs = docs.withColumn("kind", _kind()).where(F.col("kind") == "{")
     root = F.from_json("value", "map<string,string>")
     inner = F.from_json(root["byUrl"], "map<string,string>")
     entries = F.coalesce(F.when(F.map_contains_key(root, "byUrl"), F.map_entries(inner))
                           .otherwise(F.map_entries(root)),
                          F.array().cast("array<struct<key:string,value:string>>"))
     return docs.select(F.posexplode(entries).alias("pos", "e")).select(
-        F.col("pos").cast("int").alias("pos"), F.col("e.key").alias("key"), F.col("e.value").alias("raw"))
+        F.col("pos").cast("bigint").alias("pos"), F.col("e.key").alias("key"), F.col("e.value").alias("raw"))
 
 
 def read_twin_map(spark: SparkSession, path: str | None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
 from offerlake.schemas import REJECTS, SILVER
+from offerlake.sources.feeds import missing
 
 
 def write_partition(df: DataFrame, path: str, run_date: str) -> None:
@@ -25,7 +26,9 @@ def read_silver(spark: SparkSession, path: str, run_date: str) -> DataFrame:
 def read_rejects(spark: SparkSession, path: str, run_date: str) -> DataFrame:
     try:
         return spark.read.schema(REJECTS).parquet(path).where(f"run_date = '{run_date}'")
-    except AnalysisException:
+    except AnalysisException as e:
+        if not missing(e):
+            raise
         return spark.createDataFrame([], REJECTS)
 
 

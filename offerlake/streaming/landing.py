@@ -1,10 +1,9 @@
-"""Incremental bronze landing: new feed documents -> dated bronze rows.
+"""Incremental bronze landing: new feed documents -> one dated landing per run.
 
-The reference refreshes by replaying its batch on a schedule.  The bronze
-step of that refresh is expressed here as a file stream with the
-``availableNow`` trigger: each run lands only the documents that arrived
-since the previous one (tracked in the stream's checkpoint, exactly once),
-then stops.  Silver and gold are then rebuilt for the run date as batch jobs.
+A file stream with the ``availableNow`` trigger tells, exactly once (tracked in
+the stream's checkpoint), which documents arrived since the last run.  All of
+them are landed together, by the batch landing's own code and layout, so
+positions are unique within the date and the date is immutable once committed.
 """
 
 from __future__ import annotations
@@ -12,24 +11,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.sources import feeds
+from offerlake.sources import bronze, feeds
 
 
 def land_new_documents(spark: SparkSession, source_dir: str, bronze_root: str, name: str,
-                       run_date: str, checkpoint: str) -> None:
-    """Land documents that appeared in ``source_dir`` since the last run."""
+                       run_date: str, checkpoint: str) -> bool:
+    """Land the documents that appeared in ``source_dir`` since the last run as ``run_date``;
+    False when there were none.  A date that is already committed is an error: documents
+    that arrive later belong to a later run."""
     docs = (spark.readStream.format("text").option("wholetext", "true")
-                 .load(source_dir)
+                 .option("maxFilesPerTrigger", str(2**31 - 1)).load(source_dir)
                  .select(F.input_file_name().alias("file"), "value"))
+    dest = bronze.partition_path(bronze_root, name, run_date)
+    landed = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        marker = f"{dest}/_batch_{batch_id}"
+        fs, path = bronze._files(spark, marker)
+        if bronze.committed(spark, dest) and not fs.exists(path):     # a replayed batch may rewrite its own date
+            raise feeds.MalformedFeedError(f"{dest} is already committed")
         rows = feeds.explode_twin_map(batch) if name == "cross_site" else feeds.explode_records(batch)
-        # One folder per micro-batch inside the run-date partition: a replayed
-        # batch id rewrites only its own folder (idempotent), earlier ones stay.
-        (rows.withColumn("batch", F.lit(batch_id))
-             .write.mode("overwrite").parquet(f"{bronze_root}/{name}/dt={run_date}/batch={batch_id}"))
+        rows.write.mode("overwrite").parquet(dest)
+        fs.create(path, True).close()
+        landed.append(batch_id)
 
     q = (docs.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     q.awaitTermination()
+    return bool(landed)
