@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from offerlake.plans.catalog import NATION_CITIES, tbl
 
 RECORDS_PER_DOC = 20_000
+TITLE_SKILLS = ("", " Python", " SQL et Python", " Power BI", " Spark, AWS")   # ends of feed A's titles
 
 
 def _write_documents(records: DataFrame, key: str, path: str, keyed: bool,
@@ -48,8 +49,10 @@ def feed_a_records(spark: SparkSession, sf: str) -> DataFrame:
     rec = F.struct(
         F.concat(F.lit("https://jobs.example/fr/companies/"), company, F.lit("/jobs/"),
                  F.col("o_orderkey").cast("string")).alias("url"),
-        F.concat(F.lit("Data "), F.lower(F.col("c_mktsegment")), F.lit(" "), F.col("o_orderpriority"))
+        F.concat(F.lit("Data "), F.lower(F.col("c_mktsegment")), F.lit(" "), F.col("o_orderpriority"),
+                 F.element_at(F.array(*[F.lit(w) for w in TITLE_SKILLS]), (F.col("o_orderkey") % len(TITLE_SKILLS) + 1).cast("int")))
          .alias("name"),
+        F.when(F.col("o_orderkey") % 3 == 0, "bac_5").when(F.col("o_orderkey") % 3 == 1, "  ").alias("edu"),
         F.col("city"),
         F.when(F.col("o_orderkey") % 7 == 0, F.lit(None)).otherwise(
             F.concat((F.col("o_orderkey") % 11).cast("string"), F.lit("_to_"),

@@ -33,10 +33,10 @@ def duck():
 def test_all_queries_match_oracle(spark, duck):
     from oracle_check import digest, type_diffs
 
-    from offerlake.plans import catalog, oracle
+    from offerlake.plans import catalog, lake, lake_sql, oracle
     bad = []
-    sqls = oracle.oracle_sql()
-    for name, fn in catalog.QUERIES.items():
+    sqls = {**oracle.oracle_sql(), **lake_sql.oracle_sql()}
+    for name, fn in {**catalog.QUERIES, **lake.QUERIES}.items():
         df = fn(spark, SF)
         rows = [tuple(r) for r in df.collect()]
         if name not in sqls:
