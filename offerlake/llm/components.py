@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerlake.llm.spark import materialize
+from offerlake.llm.spark import materialize, small as hinted
 
 PAIRS_PER_MEMBER = 8          # hub rounds go on until so few open pairs are left for each member
 
@@ -43,17 +43,17 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     while True:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.where("v > u").join(low, "u")                       # larger neighbours go to the minimum
-                     .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        large = (both.where("v > u").join(hinted(low, edges), "u")        # larger neighbours go to the minimum
+                     .select(F.col("v").alias("u"), F.col("m").alias("v")))
         large = materialize(large, name)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (large.join(hinted(low, large), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                       .union(low.select("u", F.col("m").alias("v"))).distinct())
         edges = materialize(small, name)
         if _stars(edges):
             break
     roots = edges.select("v").distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(roots.select("v", F.col("v")))
+    return materialize(edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(roots.select("v", F.col("v"))), name)
 
 
 def _stars(edges: DataFrame) -> bool:
@@ -79,10 +79,10 @@ def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], p
         now = work.withColumn("label", F.col("node"))
         if links is not None:
             label = components(links, name)
-            now = (work.join(label, "node", "left")
+            now = (work.join(hinted(label), "node", "left")
                        .select("bucket", "node", "size", "reach", F.coalesce("label", "node").alias("label")))
         if turn and sweep is None:
-            now = _possible(now, percent, name)
+            now = _possible(materialize(now, name), percent)
         # Hubs first by the share of the set that others have: the least edited copy.
         order = (F.col("reach") / F.col("size") if turn == 0 else F.lit(0.0), F.xxhash64("node", F.lit(turn)), "node", "label")
         state = (now.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.max(F.struct(*order)).alias("hub"))
@@ -91,7 +91,7 @@ def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], p
                     .where("parts > 1").select("bucket", "n", "within", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label")))
         state = materialize(state, name)
         if sweep is not None and turn:
-            now = now.join(state.select("bucket"), "bucket", "left_semi")
+            now = materialize(now.join(hinted(state.select("bucket"), state), "bucket", "left_semi"), name)
             found = sweep(_regions(now, percent, name))
             return components(links.union(materialize(found, name)), name)
         open_pairs, open_members = state.agg(F.sum(F.expr("(n * n - within) / 2")), F.sum("n")).first()
@@ -101,7 +101,7 @@ def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], p
         # With a sweep, one round of hubs comes first and the sweep does the rest.
         last = sweep is None and (open_pairs <= PAIRS_PER_MEMBER * open_members or turn > 1 and open_pairs > 0.9 * before)
         before = open_pairs
-        now = now.join(state.select("bucket", "hub", "hub_label"), "bucket")
+        now = now.join(hinted(state.select("bucket", "hub", "hub_label"), state), "bucket")
         if last or sweep is None:
             now = materialize(now, name)
         if last:
@@ -129,12 +129,12 @@ def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], p
 
 def _regions(now: DataFrame, percent: int, name: str) -> DataFrame:
     first = now.groupBy("bucket").agg(F.min("node").alias("first"))
-    region = components(now.join(first, "bucket").select(F.col("node").alias("a"), F.col("first").alias("b")), name)
-    nodes = now.select("node", "size", "reach", "label").distinct().join(region.withColumnRenamed("label", "bucket"), "node")
-    return (_possible(nodes, percent, name).select(F.col("bucket").alias("region"), "node", "label"))
+    region = components(now.join(hinted(first, now), "bucket").select(F.col("node").alias("a"), F.col("first").alias("b")), name)
+    nodes = now.select("node", "size", "reach", "label").distinct().join(hinted(region.withColumnRenamed("label", "bucket"), region), "node")
+    return (_possible(materialize(nodes, name), percent).select(F.col("bucket").alias("region"), "node", "label"))
 
 
-def _possible(now: DataFrame, percent: int, name: str) -> DataFrame:
+def _possible(now: DataFrame, percent: int) -> DataFrame:
     """Members that can be linked with some member of their bucket."""
     least = now.groupBy("bucket").agg(F.min("size").alias("least"))
-    return (now.join(least, "bucket").where(f"{100 + percent} * reach >= {percent} * (size + least)").drop("least"))
+    return (now.join(hinted(least, now), "bucket").where(f"{100 + percent} * reach >= {percent} * (size + least)").drop("least"))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlake.llm.components import link_members
-from offerlake.llm.spark import ids, materialize
+from offerlake.llm.spark import ids, materialize, small
 
 SHINGLE = 8
 MINIMA, ROWS = 16, 4          # minima of a line, and how many make a band
@@ -93,26 +93,27 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "lines-nodes")
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
-    members = materialize(buckets.join(shared, "bucket"), "lines-members")
-    asked = materialize(members.select("node").distinct().join(nodes.select("node", "l1", "l2", "n"), "node")
-                               .withColumnRenamed("l2", "a2"), "lines-asked")
+    members = materialize(buckets.join(small(materialize(shared, "lines-shared")), "bucket"), "lines-members")
+    open_nodes = materialize(members.select("node").distinct(), "lines-open")
+    asked = materialize(nodes.select("node", "l1", F.col("l2").alias("a2"), "n").join(small(open_nodes), "node", "left_semi"), "lines-asked")
     found = ids(lines.select("l1", "l2", "line"), "l1", "inner", asked, "l1", asked.count(), 40).where("l2 = a2")
     texts = materialize(found.groupBy("node").agg(F.first("line").alias("line")), "lines-texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         side = [texts.select(F.col("node").alias(c), F.col("line").alias(f"line_{c}")) for c in "ab"]
-        return (pairs.join(side[0], "a").join(side[1], "b")
+        return (pairs.join(small(side[0], texts), "a").join(small(side[1], texts), "b")
                      .where(similar(F.col("line_a"), F.col("line_b"), percent)).select("a", "b"))
 
-    sized = members.join(asked.select("node", F.col("n").alias("size"), F.col("n").alias("reach")), "node")
+    sized = members.join(small(asked.select("node", F.col("n").alias("size"), F.col("n").alias("reach")), asked), "node")
     label = link_members(sized, verify, percent, "lines")
-    part = materialize(asked.select("node", "l1", F.col("a2").alias("l2")).join(label, "node"), "lines-parts")
+    part = materialize(asked.select("node", "l1", F.col("a2").alias("l2")).join(small(label), "node"), "lines-parts")
 
     first = lines.groupBy("l1", "l2").agg(F.min(at).alias("first"), F.count("*").alias("k"))
-    several = materialize(first.join(part.select("l1", "l2", "label"), ["l1", "l2"], "left").where("k > 1 or label is not null"), "lines-several")
+    several = materialize(first.join(small(part.select("l1", "l2", "label"), part), ["l1", "l2"], "left").where("k > 1 or label is not null"), "lines-several")
     kept = several.where("label is not null").groupBy("label").agg(F.min("first").alias("kept"))
     several = several.join(kept, "label", "left").select("l1", "l2", F.coalesce("kept", "first").alias("kept"))
-    removed = (lines.join(several, ["l1", "l2"]).where(~(F.col("kept") == at))
+    several = materialize(several, "lines-kept")
+    removed = (lines.join(small(several), ["l1", "l2"]).where(~(F.col("kept") == at))
                     .groupBy(F.col("id").alias("r_id"), F.col("h").alias("r_h")).agg(F.collect_set("pos").alias("gone")))
     out = docs.join(removed, docs["id"].eqNullSafe(F.col("r_id")) & (docs["h"] == F.col("r_h")), "left")
     every = F.split("text", "\n", -1)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from offerlake.llm import words as W
 from offerlake.llm.components import link_members
-from offerlake.llm.spark import arrow_batches, ids, materialize
+from offerlake.llm.spark import arrow_batches, ids, materialize, small
 
 BANDS, ROWS = 30, 5           # P(pair at 0.8 shares no band) = (1 - 0.8**5)**30 = 7e-6
 BATCH = 30                    # signature positions compared at a time
@@ -253,28 +253,32 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     reps = materialize(reps, "minhash-classes")
     buckets = reps.select("node", "bands").mapInArrow(_buckets, "bucket bigint, node binary")
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = materialize(buckets.join(shared, "bucket"), "minhash-members")
+    members = materialize(buckets.join(small(materialize(shared, "minhash-shared")), "bucket"), "minhash-members")
 
-    asked = materialize(members.select("node").distinct().join(reps.select("node", "rep.doc_id", "rep.h"), "node")
-                               .select("node", F.col("doc_id").alias("rep_id"), F.col("h").alias("rep_h")), "minhash-asked")
+    # From here on only the classes that share a bucket with another one matter.
+    nodes = materialize(members.select("node").distinct(), "minhash-nodes")
+    reps = materialize(reps.join(small(nodes), "node", "left_semi").select("node", "sig", "size", "rep"), "minhash-open-classes")
+    asked = reps.select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.h").alias("rep_h"))
     found = ids(docs, "h", "inner", asked, "rep_h", asked.count(), 64).where("doc_id <=> rep_id")
     texts = materialize(found.select("node", "text").dropDuplicates(["node"])
                              .withColumn("number", F.monotonically_increasing_id()), "minhash-texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         sig = reps.select("node", "sig")
-        with_sig = (pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b"))
+        with_sig = (pairs.join(small(sig.toDF("a", "sig_a"), reps), "a").join(small(sig.toDF("b", "sig_b"), reps), "b"))
         open_pairs = materialize(with_sig.mapInArrow(_prune(percent / 100, miss), "a binary, b binary"), "minhash-open")
-        with_text = (open_pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
+        side = [small(texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")), texts) for c in "ab"]
+        with_text = open_pairs.join(side[0], "a").join(side[1], "b")
         return with_text.mapInArrow(_confirm(shingle, percent), "a binary, b binary")
 
-    def sweep(nodes: DataFrame) -> DataFrame:
+    def sweep(regions: DataFrame) -> DataFrame:
+        nodes = materialize(regions, "minhash-region-nodes")
         # Nodes outside their region's largest component meet all others, block by block.
         size = nodes.groupBy("region", "label").agg(F.count("*").alias("n"))
         main = size.groupBy("region").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n"))
         main = materialize(main.where("n > 2").select("region", "main.label", "n"), "minhash-regions")   # two were compared
-        rows = materialize(nodes.join(main.select("region", F.col("label").alias("main"), "n"), "region")
-                                .join(texts.select("node", "text"), "node").join(reps.select("node", "sig"), "node"), "minhash-sweep")
+        nodes = materialize(nodes.join(small(main.select("region", F.col("label").alias("main"), "n"), main), "region"), "minhash-open-nodes")
+        rows = materialize(texts.select("node", "text").join(small(nodes), "node").join(small(reps.select("node", "sig"), reps), "node"), "minhash-sweep")
         deal = F.xxhash64("node")
         cols = ["region", "l", "r", "node", "label", "text", "sig"]
         lblocks, rblocks = F.expr(f"cast(ceil(n / {LEFT}) as int)"), F.expr(f"cast(ceil(n / {RIGHT}) as int)")
@@ -290,12 +294,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     alone = (texts.select("text", "number").mapInArrow(_shingle_rows(shingle), "shingle bigint, number bigint")
                     .groupBy("shingle").agg(F.count("*").alias("n"), F.min("number").alias("number")).where("n = 1")
                     .groupBy("number").agg(F.count("*").alias("alone")))
-    sizes = (texts.select("node", "number").join(alone, "number", "left").join(reps.select("node", "size"), "node")
-                    .select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("reach")))
-    label = link_members(members.join(materialize(sizes, "minhash-sizes"), "node"), verify, percent, "minhash", sweep)
-    rows = (rows.select("doc_id", "n_shingles", "node").join(label, "node", "left")
+    alone = materialize(alone, "minhash-alone")
+    sizes = (texts.select("node", "number").join(small(alone), "number", "left").join(small(reps.select("node", "size"), reps), "node")
+                  .select("node", "size", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("reach")))
+    sizes = materialize(sizes, "minhash-sizes")
+    label = materialize(link_members(members.join(small(sizes), "node"), verify, percent, "minhash", sweep), "minhash-labels")
+    rows = (rows.select("doc_id", "n_shingles", "node").join(small(label), "node", "left")
                 .withColumn("part", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node"))))
     least = rows.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
-    out = rows.join(least.select("part", "least", F.lit(True).alias("grouped")), "part", "left")
+    least = materialize(least.select("part", "least", F.lit(True).alias("grouped")), "minhash-least")
+    out = rows.join(small(least), "part", "left")
     out = out.withColumn("component_id", F.when(F.col("grouped"), F.col("least")).otherwise(F.col("doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

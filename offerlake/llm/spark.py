@@ -25,6 +25,17 @@ def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def stored(df: DataFrame) -> int:
+    """Bytes that Spark knows a stored table to have."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def small(df: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if the stored table that bounds it (``of``, or ``df``
+    itself) is small; else as it is, for a shuffled join that Spark can split."""
+    return F.broadcast(df) if 4 * stored(df if of is None else of) <= BROADCAST_BYTES else df
+
+
 def ids(df: DataFrame, col: str, how: str, other: DataFrame, key: str, rows: int, row_bytes: int = 24) -> DataFrame:
     """Join ``df`` with a table of ``rows`` ids.  The ids are broadcast only if
     their counted size stays under BROADCAST_BYTES; otherwise both sides are
