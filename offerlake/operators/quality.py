@@ -7,6 +7,7 @@ check with its failure count.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -54,10 +55,9 @@ def check_report(checks: Sequence[Check], *, exclude_tags: Sequence[str] = ()) -
     parts = [c.failing().agg(F.count(F.lit(1)).alias("failures"))
              .select(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failures")
              for c in selected]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    if not parts:
+        raise ValueError("no check is selected")
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def column_rules(df: DataFrame, rules: Sequence[tuple[str, str, Column]]) -> DataFrame:
@@ -67,8 +67,9 @@ def column_rules(df: DataFrame, rules: Sequence[tuple[str, str, Column]]) -> Dat
     """
     wide = df.agg(*[F.count_if(F.coalesce(cond, F.lit(False))).alias(f"__v{i}")
                     for i, (_, _, cond) in enumerate(rules)])
-    args = ", ".join(f"'{r}', '{f}', __v{i}" for i, (r, f, _) in enumerate(rules))
-    return wide.selectExpr(f"stack({len(rules)}, {args}) AS (rule, field, violations)")
+    rows = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(f).alias("field"), F.col(f"__v{i}").alias("violations"))
+                     for i, (r, f, _) in enumerate(rules)])
+    return wide.select(F.inline(rows))
 
 
 _TYPES = {
@@ -94,6 +95,8 @@ def contract_violations(df: DataFrame, contract: Sequence[dict]) -> DataFrame:
         if name not in present:
             schema_rows.append(("missing", name, 1))
             continue
+        if typ is not None and typ not in _TYPES and typ != "list<string>":
+            raise ValueError(f"unknown type in the contract: {typ}")
         if typ in _TYPES and not isinstance(present[name], _TYPES[typ]):
             schema_rows.append(("type", name, 1))
         if typ == "list<string>" and not isinstance(present[name], T.ArrayType):
@@ -113,14 +116,3 @@ def contract_violations(df: DataFrame, contract: Sequence[dict]) -> DataFrame:
         dup = unique(df, u).agg(F.coalesce(F.sum(F.col("n_records") - 1), F.lit(0)).cast("bigint").alias("violations"))
         out = out.unionByName(dup.select(F.lit("unique").alias("rule"), F.lit(u).alias("field"), "violations"))
     return out.where(F.col("violations") > 0)
-
-
-class QualityGateError(RuntimeError):
-    pass
-
-
-def enforce(report: DataFrame) -> None:
-    """Raise when an error-level check has failures (only a small report is collected)."""
-    bad = report.where((F.col("severity") == "error") & (F.col("failures") > 0)).collect()
-    if bad:
-        raise QualityGateError("; ".join(f"{r.check}: {r.failures}" for r in bad))

@@ -15,6 +15,7 @@ from offerlake.operators import keys, quality
 from offerlake.operators.star import attach_keys
 from offerlake.schemas import EXP_BUCKETS, SOURCES
 
+# Fixed values.
 MART_NAMES = (
     "mart_completude", "mart_kpis", "mart_par_contrat", "mart_par_departement", "mart_par_experience",
     "mart_par_metier", "mart_par_remote", "mart_salaire_par_contrat", "mart_salaire_par_metier",
@@ -75,6 +76,7 @@ def fact(v: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     ], row_id="offer_id")
 
 
+# Label and condition of each completeness row.
 COMPLETENESS = (
     ("Salaire", "has_salary"),
     ("Expérience", "experience IS NOT NULL"),
@@ -95,7 +97,6 @@ def kpis(fct: DataFrame, stg: DataFrame, *, approx_distinct: bool = False) -> Da
     distinct = F.approx_count_distinct if approx_distinct else F.count_distinct
     n = F.count(F.lit(1))
     sal = F.count_if("has_salary")
-    mid = F.when(F.col("has_salary"), F.col("sal_mid_eur"))
     card = fct.agg(
         n.alias("n_offres"),
         F.count_if(F.col("source") == "WTTJ").alias("n_wttj"),
@@ -105,12 +106,13 @@ def kpis(fct: DataFrame, stg: DataFrame, *, approx_distinct: bool = False) -> Da
         distinct("company").alias("n_entreprises"),
         distinct("city").alias("n_villes"),
         F.count_if("is_idf").alias("n_idf"),
-        F.round(F.median(mid), 0).alias("salaire_median"),
-        F.round(F.percentile(mid, 0.25), 0).alias("salaire_q1"),
-        F.round(F.percentile(mid, 0.75), 0).alias("salaire_q3"),
     )
+    # Salaries lie in a fixed band: one (value, frequency) row each before they meet.
+    freq = fct.where("has_salary").groupBy("sal_mid_eur").agg(n.alias("f"))
+    box = freq.agg(*[F.round(F.percentile("sal_mid_eur", p, F.col("f")), 0).alias(name)
+                     for name, p in (("salaire_median", 0.5), ("salaire_q1", 0.25), ("salaire_q3", 0.75))])
     twins = stg.agg(F.count_if((F.col("source") == "Indeed") & F.col("is_twin")).alias("n_twins_dedup"))
-    return agg.side_by_side(card, twins).select(
+    return agg.side_by_side(card, box, twins).select(
         "n_offres", "n_wttj", "n_indeed", "n_twins_dedup", "n_salaire", "pct_salaire", "n_entreprises",
         "n_villes", "n_idf", "salaire_median", "salaire_q1", "salaire_q3")
 

@@ -57,6 +57,11 @@ def build_silver(spark: SparkSession, layout: Layout, run_date: str) -> dict:
     return silver.stats(s, r, run_date).first().asDict()
 
 
+def _write_stats(spark: SparkSession, layout: Layout, stats: dict) -> None:
+    spark.createDataFrame([(json.dumps(stats, ensure_ascii=False, default=str),)], "value string") \
+         .coalesce(1).write.mode("overwrite").text(f"{layout.root}/_last_run")
+
+
 def run_job(spark: SparkSession, root: str, run_date: str, sources: dict[str, str | None], *,
             skip_gold: bool = False, export: bool = True, exclude_tags: tuple[str, ...] = (),
             expected_counts: dict[str, int] | None = None, object_store: str | None = None) -> dict:
@@ -64,6 +69,7 @@ def run_job(spark: SparkSession, root: str, run_date: str, sources: dict[str, st
     manifest = bronze.ingest(spark, layout.bronze, run_date, sources)
     stats = build_silver(spark, layout, run_date)
     stats["present"] = {s["source"]: s["present"] for s in manifest["sources"]}
+    _write_stats(spark, layout, stats)               # a run without gold has its statistics, too
     if skip_gold:
         return stats
     s = sinks.read_silver(spark, layout.silver_offers, run_date)
@@ -80,6 +86,5 @@ def run_job(spark: SparkSession, root: str, run_date: str, sources: dict[str, st
         names = sinks.list_marts(tables) + ["fct_offres"]
         stats["gold_exported"] = sinks.export(tables, names, layout.gold)
         stats["object_store_files"] = sinks.sync_to_object_store(tables, names, object_store)
-    spark.createDataFrame([(json.dumps(stats, ensure_ascii=False, default=str),)], "value string") \
-         .coalesce(1).write.mode("overwrite").text(f"{layout.root}/_last_run")
+    _write_stats(spark, layout, stats)
     return stats

@@ -19,18 +19,6 @@ _DEFAULTS = {
 }
 
 
-# Suggested settings for a large cluster (not applied by default).  Shuffle
-# partitions start high and adaptive execution coalesces them to ~256 MB;
-# scans read 256 MB splits; broadcast stays capped at a checked size.
-CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "8000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
-}
-
-
 def get_spark(master: str | None = None, app: str = "offerlake",
               shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """Build (or reuse) a session with the settings the library relies on."""
