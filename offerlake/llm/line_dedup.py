@@ -63,14 +63,15 @@ def _minima(lines: DataFrame) -> DataFrame:
     return low.groupBy("l1", "l2").agg(F.max("n").alias("n"), *[F.min(f"m{p}").alias(f"m{p}") for p in range(MINIMA)])
 
 
-def _set(line: Column) -> Column:
-    u = _units(line)
+def _set(u: Column) -> Column:
+    """Distinct shingle hashes of a line given as UTF-16 bytes (a column: a lambda would
+    evaluate an expression anew for every shingle)."""
     last = _n_shingles(u) - 1
     return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(u, 2 * i + 1, F.lit(2 * SHINGLE)))))
 
 
 def similar(a: Column, b: Column, percent: int) -> Column:
-    """100 * |A & B| >= percent * |A | B| for the shingle sets of two lines."""
+    """100 * |A & B| >= percent * |A | B| for the shingle sets of two lines (UTF-16 bytes)."""
     both = F.array(F.struct(_set(a).alias("x"), _set(b).alias("y")))      # bound once
     def test(s):
         common = F.size(F.array_intersect(s["x"], s["y"]))
@@ -97,12 +98,12 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     open_nodes = materialize(members.select("node").distinct(), "lines-open")
     asked = materialize(nodes.select("node", "l1", F.col("l2").alias("a2"), "n").join(small(open_nodes), "node", "left_semi"), "lines-asked")
     found = ids(lines.select("l1", "l2", "line"), "l1", "inner", asked, "l1", asked.count(), 40).where("l2 = a2")
-    texts = materialize(found.groupBy("node").agg(F.first("line").alias("line")), "lines-texts")
+    texts = materialize(found.groupBy("node").agg(F.first(_units(F.col("line"))).alias("u")), "lines-texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        side = [texts.select(F.col("node").alias(c), F.col("line").alias(f"line_{c}")) for c in "ab"]
+        side = [texts.select(F.col("node").alias(c), F.col("u").alias(f"u_{c}")) for c in "ab"]
         return (pairs.join(small(side[0], texts), "a").join(small(side[1], texts), "b")
-                     .where(similar(F.col("line_a"), F.col("line_b"), percent)).select("a", "b"))
+                     .where(similar(F.col("u_a"), F.col("u_b"), percent)).select("a", "b"))
 
     sized = members.join(small(asked.select("node", F.col("n").alias("size"), F.col("n").alias("reach")), asked), "node")
     label = link_members(sized, verify, percent, "lines")
