@@ -32,6 +32,9 @@ MINIMA, ROWS = 16, 4          # minima of a line, and how many make a band
 # Each minimum is in three bands.  Recall (simulated, independent minima): 0.979 at
 # similarity 0.8, 0.994 at 0.85, 0.999 at 0.9.
 BANDS = [[(b + s) % MINIMA for s in (0, 1, 6, 13)] for b in range(12)]
+# A pair with fewer equal minima is not compared in full; at similarity 0.8 that has
+# probability 2.5e-4.
+LEAST_EQUAL = 7
 _rng = random.Random(20)
 _XOR = [_rng.getrandbits(63) for _ in range(MINIMA)]
 _TURN = [(p * 19) % 63 + 1 for p in range(MINIMA)]
@@ -89,21 +92,23 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     lines = lines.withColumn("l1", F.xxhash64("line")).withColumn("l2", F.xxhash64(F.lit(1), "line"))
     at = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("h").alias("h"), F.col("pos").alias("pos"))
 
-    nodes = _minima(lines).select("l1", "l2", "n", F.array(*[
-        F.xxhash64(F.lit(b), *[F.col(f"m{p}") for p in band]) for b, band in enumerate(BANDS)]).alias("bands"))
+    nodes = _minima(lines).select("l1", "l2", "n", F.array(*[F.col(f"m{p}") for p in range(MINIMA)]).alias("minima"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "lines-nodes")
-    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
+    bands = F.array(*[F.xxhash64(F.lit(b), *[F.col("minima")[p] for p in band]) for b, band in enumerate(BANDS)])
+    buckets = nodes.select("node", F.explode(bands).alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
     members = materialize(buckets.join(small(materialize(shared, "lines-shared")), "bucket"), "lines-members")
     open_nodes = materialize(members.select("node").distinct(), "lines-open")
-    asked = materialize(nodes.select("node", "l1", F.col("l2").alias("a2"), "n").join(small(open_nodes), "node", "left_semi"), "lines-asked")
-    found = ids(lines.select("l1", "l2", "line"), "l1", "inner", asked, "l1", asked.count(), 40).where("l2 = a2")
-    texts = materialize(found.groupBy("node").agg(F.first(_units(F.col("line"))).alias("u")), "lines-texts")
+    asked = materialize(nodes.select("node", "l1", F.col("l2").alias("a2"), "n", "minima").join(small(open_nodes), "node", "left_semi"), "lines-asked")
+    found = ids(lines.select("l1", "l2", "line"), "l1", "inner", asked.select("node", "l1", "a2"), "l1", asked.count(), 40).where("l2 = a2")
+    texts = materialize(found.groupBy("node").agg(F.first(_units(F.col("line"))).alias("u"))
+                             .join(small(asked.select("node", "minima"), asked), "node"), "lines-texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        side = [texts.select(F.col("node").alias(c), F.col("u").alias(f"u_{c}")) for c in "ab"]
+        side = [texts.select(F.col("node").alias(c), F.col("u").alias(f"u_{c}"), F.col("minima").alias(f"m_{c}")) for c in "ab"]
+        equal = F.expr("aggregate(zip_with(m_a, m_b, (x, y) -> int(x = y)), 0, (s, x) -> s + x)")
         return (pairs.join(small(side[0], texts), "a").join(small(side[1], texts), "b")
-                     .where(similar(F.col("u_a"), F.col("u_b"), percent)).select("a", "b"))
+                     .where((equal >= LEAST_EQUAL) & similar(F.col("u_a"), F.col("u_b"), percent)).select("a", "b"))
 
     sized = members.join(small(asked.select("node", F.col("n").alias("size"), F.col("n").alias("reach")), asked), "node")
     label = link_members(sized, verify, percent, "lines")
