@@ -99,7 +99,7 @@ def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], p
             break
         # Few pairs are left, or hubs no longer bring members together.
         # With a sweep, one round of hubs comes first and the sweep does the rest.
-        last = sweep is None and (open_pairs <= PAIRS_PER_MEMBER * open_members or turn > 1 and open_pairs > 0.9 * before)
+        last = sweep is None and turn > 0 and (open_pairs <= PAIRS_PER_MEMBER * open_members or turn > 1 and open_pairs > 0.9 * before)
         before = open_pairs
         now = now.join(hinted(state.select("bucket", "hub", "hub_label"), state), "bucket")
         if last or sweep is None:
@@ -110,7 +110,11 @@ def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], p
                         .where(f"{100 + percent} * least(reach, b_reach) >= {percent} * (size + b_size)")
                         .select(F.col("node").alias("a"), F.col("b_node").alias("b")))
         else:
-            pairs = now.where("label <> hub_label").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+            pairs = now.where("label <> hub_label").select("node", "hub")
+            if turn == 0 and sweep is None:          # first the hub that most of a member's buckets have
+                pairs = (pairs.groupBy("node", "hub").agg(F.count("*").alias("k"))
+                              .groupBy("node").agg(F.max(F.struct("k", "hub")).alias("best")).select("node", "best.hub"))
+            pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
         pairs = pairs.distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
