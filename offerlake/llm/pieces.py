@@ -32,6 +32,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNIT = f"{SPACE}?[^{SPACE}\\n]+|{SPACE}|\\n"
 SAMPLE_DOCS = 20_000          # documents of the sample that names the frequent units
-HEAD = 400_000                # units looked up by every task, at most
+HEAD = 150_000                # units looked up by every task, at most
 NEVER = -1e8                  # a stored score below this marks a piece as unused
 
 
@@ -112,10 +113,12 @@ def _frequent(texts: DataFrame, sample_docs: int, head: int) -> DataFrame:
     return counts.where(F.col("n") >= (least if least is not None else 1 << 62)).select("unit")
 
 
-def _codes(units: list[str], ids: list[np.ndarray]) -> tuple[dict, np.ndarray, np.ndarray]:
+def _codes(known: pa.Table) -> tuple[dict, np.ndarray, np.ndarray]:
     """Units as numbers, and the ids of each: offsets into one flat array."""
-    at = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-    return {u: i for i, u in enumerate(units)}, at, np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)
+    ids = known.column("ids").combine_chunks()
+    at = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(ids).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+    return {u.as_py(): i for i, u in enumerate(known.column("unit"))}, at, flat
 
 
 def _gather(values: np.ndarray, at: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -232,8 +235,7 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     texts = texts.select("doc_id", F.when(F.col("text") != "", normalised(F.col("text"))).when(F.col("text") == "", "").alias("norm"),
                          F.xxhash64("doc_id", "text").alias("key1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("key2"))
     known = lattice(_frequent(texts, sample_docs, head), pieces, first_byte, longest).toArrow()   # at most ``head`` rows
-    codes = spark.sparkContext.broadcast(_codes(known.column("unit").to_pylist(),
-                                                [np.array(x, np.int32) for x in known.column("ids").to_pylist()]))
+    codes = spark.sparkContext.broadcast(_codes(known))
     kind = texts.schema["doc_id"].dataType.simpleString()
     tail = (texts.where("norm is not null").select("norm", "key1", "key2")
                  .mapInArrow(_tails(codes), "key1 bigint, key2 bigint, place int, unit string"))
