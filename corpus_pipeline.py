@@ -39,11 +39,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: that of the smallest doc_id.  Rows
-    that repeat it stay once for each text."""
-    judged = minhash_dedup.near_duplicates(docs)
-    gone = judged.where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("gone")), "left_anti")
+    """One row of each group of near-duplicates stays: the first by doc_id (null last), text
+    hash and row number.  Rows are told apart by their own number, so rows that repeat a
+    doc_id, or have none, are judged one by one."""
+    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-near")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("h"), F.col("__row").alias("row"))
+    judged = minhash_dedup.near_duplicates(keyed.select(order.alias("doc_id"), "text"))
+    gone = judged.where("not kept").select(F.col("doc_id.row").alias("__row"))
+    return keyed.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
