@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding by a relational lattice.
 
 A text is normalised as the public piece model does: a space becomes U+2581, one more is
-put in front.  It falls into units (``UNIT``) that no piece of the vocabulary crosses, so
+put in front.  It falls into units (``UNIT``: a whole run of U+2581 with the word behind
+it) that no piece of the vocabulary crosses, so
 the best path of a text is the best paths of its units.  Every distinct unit's substrings
 of bounded length are exploded and equi-joined with the piece table; its edges are grouped
 by unit; a Spark higher-order aggregate folds the Viterbi recurrence over the positions
@@ -41,10 +42,10 @@ from offerlake.llm.spark import arrow_batches, materialize
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-UNIT = f"{SPACE}?[^{SPACE}\\n]+|{SPACE}|\\n"
+# A piece holds U+2581 only as a run of it or as its first character, and no line end.
+UNIT = f"{SPACE}+[^{SPACE}\\n]*|[^{SPACE}\\n]+|\\n"
 SAMPLE_DOCS = 20_000          # documents of the sample that names the frequent units
 HEAD = 150_000                # units looked up by every task, at most
-NEVER = -1e8                  # a stored score below this marks a piece as unused
 
 
 def vocabulary(model: str = MODEL) -> tuple[list[tuple[str, int, float]], list[bytes], int, int]:
@@ -61,8 +62,7 @@ def vocabulary(model: str = MODEL) -> tuple[list[tuple[str, int, float]], list[b
             raw.append(b"")
         else:
             raw.append(piece.replace(SPACE, " ").encode())
-            if m.get_score(i) > NEVER or len(piece) == 1:
-                pieces.append((piece, i, -math.log(i)))
+            pieces.append((piece, i, -math.log(i)))
     return pieces, raw, first, max(len(p) for p, *_ in pieces)
 
 
@@ -80,12 +80,14 @@ def lattice(units: DataFrame, pieces: DataFrame, first_byte: int, longest: int)
     edges = at.join(F.broadcast(pieces), "piece", "left").where("id is not null or size = 1")
     edges = edges.select("unit", "n", F.struct((F.col("lo") + F.col("size") - 1).alias("hi"), (F.col("lo") - 1).alias("lo"),
                                                F.coalesce("score", F.lit(worst)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id")).alias("edge"))
-    words = edges.groupBy("unit").agg(F.max("n").alias("n"), F.collect_list("edge").alias("edges"))
+    words = edges.groupBy("unit").agg(F.max("n").alias("n"), F.sort_array(F.collect_list("edge")).alias("edges"))
     # Best score, beginning and piece of the last step at every position; position 0 first.
     # The piece is kept negated, so that of equal paths the smaller id is the greatest.
-    best = """aggregate(sequence(1, n), array(named_struct('score', 0d, 'lo', 0, 'minus', 0)),
-        (done, p) -> concat(done, array(array_max(transform(filter(edges, e -> e.hi = p),
-            e -> named_struct('score', done[e.lo].score + e.score, 'lo', e.lo, 'minus', -e.id))))))"""
+    # Edges are sorted by their end, so the next ``longest`` ones hold all that end at p.
+    best = f"""aggregate(sequence(1, n), named_struct('next', 1, 'done', array(named_struct('score', 0d, 'lo', 0, 'minus', 0))),
+        (s, p) -> element_at(transform(array(filter(slice(edges, s.next, {longest}), e -> e.hi = p)), ends -> named_struct('next', s.next + size(ends),
+            'done', concat(s.done, array(array_max(transform(ends,
+                e -> named_struct('score', s.done[e.lo].score + e.score, 'lo', e.lo, 'minus', -e.id))))))), 1), s -> s.done)"""
     words = words.select("unit", "n", F.expr(best).alias("best"))
     path = f"""aggregate(sequence(n, 1, -1), named_struct('at', n, 'ids', cast(array() as array<int>)),
         (s, p) -> if(p <> s.at, s, named_struct('at', best[p].lo, 'ids', concat(

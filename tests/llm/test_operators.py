@@ -339,6 +339,28 @@ def test_pieces(spark):
     assert pieces.encode(docs.limit(0)).count() == 0
 
 
+def test_pieces_of_space_runs(spark):
+    """Brute force over the model's own vocabulary and the whole text, without units."""
+    import sentencepiece
+    m = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    ordinary = [i for i in range(m.get_piece_size()) if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i) or m.is_unused(i))]
+    table = {m.id_to_piece(i): (i, -math.log(i)) for i in ordinary}
+    first_byte = next(i for i in range(m.get_piece_size()) if m.is_byte(i))
+    texts = ["def f(x):\n        if x:\n            return 1\n\n    return  0", "a    b", "name      |  size   |\n" + " " * 40, " ", "  ", " " * 700 + "far \n " + "-" * 90,
+             "▁▁ a ▁b", "\n  \n   漢字   end   "]
+    texts += ["".join(random.Random(k).choice([" ", "  ", " " * 7, "\n", "if", "value", "x1", "é"]) for _ in range(60)) for k in range(6)]
+    docs = frame(spark, [(i, t, "s") for i, t in enumerate(texts)])
+    for head in (0, 1000):
+        for r in pieces.encode(docs, head=head).collect():
+            norm = "▁" + texts[r.doc_id].replace(" ", "▁")
+            want = plain_path(norm, table, first_byte, max(map(len, table)))
+            # Sums of one path differ by rounding with their order, so paths of equal score may differ.
+            cost = [sum(math.log(i) for i in ids if not m.is_byte(i)) for ids in (r.ids, want)]
+            assert cost[0] == pytest.approx(cost[1], rel=1e-12) and [i for i in r.ids if m.is_byte(i)] == [i for i in want if m.is_byte(i)]
+            assert r.round_trip and m.decode(r.ids) == texts[r.doc_id].replace("▁", " ")
+            assert r.doc_id != 1 or (r.ids == want and len(r.ids) == 3)
+
+
 def test_mixing(spark):
     rng = random.Random(11)
     sources = ["b", "a", None, "", "é", "tiny"]
