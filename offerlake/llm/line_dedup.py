@@ -50,20 +50,20 @@ def _n_shingles(units: Column) -> Column:
 
 
 def _minima(lines: DataFrame) -> DataFrame:
-    """(l1, l2, line) -> one row per distinct line: l1, l2, n and its minima."""
+    """(l1, l2, line) -> one row per distinct line: l1, l2 and its minima."""
     u = lines.select("l1", "l2", _units(F.col("line")).alias("u"))
     u = u.select("l1", "l2", "u", _n_shingles(F.col("u")).alias("n"))
     step = u.select("l1", "l2", "u", "n", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {STRIDE}").cast("int"))).alias("step"))
     # Past the end the last shingle is taken again, which changes no minimum.
-    hashed = step.select("l1", "l2", "n", *[
+    hashed = step.select("l1", "l2", *[
         F.expr(f"xxhash64(substring(u, 2 * least({STRIDE} * step + {j}, n - 1) + 1, {2 * SHINGLE}))").alias(f"h{j}") for j in range(STRIDE)])
 
     def turned(h: str, p: int) -> str:
         return f"((shiftleft({h}, {_TURN[p]}) | shiftrightunsigned({h}, {64 - _TURN[p]})) ^ {_XOR[p]}L)"
 
-    low = hashed.select("l1", "l2", "n", *[
+    low = hashed.select("l1", "l2", *[
         F.expr("least(" + ", ".join(turned(f"h{j}", p) for j in range(STRIDE)) + ")").alias(f"m{p}") for p in range(MINIMA)])
-    return low.groupBy("l1", "l2").agg(F.max("n").alias("n"), *[F.min(f"m{p}").alias(f"m{p}") for p in range(MINIMA)])
+    return low.groupBy("l1", "l2").agg(*[F.min(f"m{p}").alias(f"m{p}") for p in range(MINIMA)])
 
 
 def _set(u: Column) -> Column:
@@ -73,6 +73,11 @@ def _set(u: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(u, 2 * i + 1, F.lit(2 * SHINGLE)))))
 
 
+def _n_distinct(u: Column) -> Column:
+    """Size of the set, which is less than the number of shingles where they repeat."""
+    return F.size(_set(u))
+
+
 def similar(a: Column, b: Column, percent: int) -> Column:
     """100 * |A & B| >= percent * |A | B| for the shingle sets of two lines (UTF-16 bytes)."""
     both = F.array(F.struct(_set(a).alias("x"), _set(b).alias("y")))      # bound once
@@ -92,17 +97,18 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     lines = lines.withColumn("l1", F.xxhash64("line")).withColumn("l2", F.xxhash64(F.lit(1), "line"))
     at = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("h").alias("h"), F.col("pos").alias("pos"))
 
-    nodes = _minima(lines).select("l1", "l2", "n", F.array(*[F.col(f"m{p}") for p in range(MINIMA)]).alias("minima"))
+    nodes = _minima(lines).select("l1", "l2", F.array(*[F.col(f"m{p}") for p in range(MINIMA)]).alias("minima"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "lines-nodes")
     bands = F.array(*[F.xxhash64(F.lit(b), *[F.col("minima")[p] for p in band]) for b, band in enumerate(BANDS)])
     buckets = nodes.select("node", F.explode(bands).alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("k")).where("k > 1").select("bucket")
     members = materialize(buckets.join(small(materialize(shared, "lines-shared")), "bucket"), "lines-members")
     open_nodes = materialize(members.select("node").distinct(), "lines-open")
-    asked = materialize(nodes.select("node", "l1", F.col("l2").alias("a2"), "n", "minima").join(small(open_nodes), "node", "left_semi"), "lines-asked")
+    asked = materialize(nodes.select("node", "l1", F.col("l2").alias("a2"), "minima").join(small(open_nodes), "node", "left_semi"), "lines-asked")
     found = ids(lines.select("l1", "l2", "line"), "l1", "inner", asked.select("node", "l1", "a2"), "l1", asked.count(), 40).where("l2 = a2")
     texts = materialize(found.groupBy("node").agg(F.first(_units(F.col("line"))).alias("u"))
-                             .join(small(asked.select("node", "minima"), asked), "node"), "lines-texts")
+                             .join(small(asked.select("node", "minima"), asked), "node")
+                             .withColumn("size", _n_distinct(F.col("u"))), "lines-texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         side = [texts.select(F.col("node").alias(c), F.col("u").alias(f"u_{c}"), F.col("minima").alias(f"m_{c}")) for c in "ab"]
@@ -110,7 +116,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         return (pairs.join(small(side[0], texts), "a").join(small(side[1], texts), "b")
                      .where((equal >= LEAST_EQUAL) & similar(F.col("u_a"), F.col("u_b"), percent)).select("a", "b"))
 
-    sized = members.join(small(asked.select("node", F.col("n").alias("size"), F.col("n").alias("reach")), asked), "node")
+    sized = members.join(small(texts.select("node", "size", F.col("size").alias("reach")), texts), "node")
     label = link_members(sized, verify, percent, "lines")
     part = materialize(asked.select("node", "l1", F.col("a2").alias("l2")).join(small(label), "node"), "lines-parts")
 

@@ -140,6 +140,37 @@ def test_line_dedup(spark):
     assert all(r.n_lines - r.n_removed == sum(bool(x.strip()) for x in r.text.split("\n")) for r in got.values())
 
 
+def line_shingles(line):
+    u = line.encode("utf-16-be")
+    return {u[2 * i:2 * i + 16] for i in range(max(1, len(u) // 2 - 7))}
+
+
+def test_line_dedup_of_repetitive_lines(spark):
+    """Leaders, rulers and table rows of many lengths: families with several hubs."""
+    every = [f"Chapter {c}: Introduction{' ' * (c % 2)}" + "." * n for c in (1, 2) for n in (12, 20, 33, 60, 90)]
+    every += ["| col |" + " --- |" * n for n in (4, 7, 12, 30)] + ["-" * n for n in (8, 40, 80, 200)] + ["=" * n for n in (9, 70)]
+    every += [f"Section on the history of place {k} " + "." * n for k in "abc" for n in (10, 25, 70)]
+    sets = [line_shingles(x) for x in every]
+    links = [(i, j) for i in range(len(every)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    part = components_of(len(every), links)
+    got = {r.row.doc_id: r.text for r in line_dedup.dedup_lines(frame(spark, [(i, x, "s") for i, x in enumerate(every)])).collect()}
+    assert got == {i: x if part[i] == i else "" for i, x in enumerate(every)} and len(set(part)) < len(every) / 2
+
+
+def test_line_dedup_sizes_are_of_sets(spark, monkeypatch):
+    """The size filter of link_members is no bound for anything but the size of the set."""
+    every = ["Chapter 1: Introduction" + "." * n for n in (12, 60)] + ["-" * n for n in (40, 80)] + ["| col |" + " --- |" * n for n in (4, 12)]
+    class Seen(Exception):
+        pass
+    def members(df, *args, **kwargs):
+        raise Seen(sorted(tuple(r) for r in df.select("node", "size", "reach").distinct().select("size", "reach").collect()))
+    monkeypatch.setattr(line_dedup, "link_members", members)
+    with pytest.raises(Seen) as seen:
+        line_dedup.dedup_lines(frame(spark, [(i, x, "s") for i, x in enumerate(every)]))
+    want = sorted(len(line_shingles(x)) for x in every)
+    assert seen.value.args[0] == [(n, n) for n in want]
+
+
 def test_line_dedup_edges(spark):
     out = line_dedup.dedup_lines(frame(spark, EDGE)).collect()
     got = sorted(((r.row.doc_id or 0), r.text, r.n_lines, r.n_removed) for r in out if r.text is not None)
