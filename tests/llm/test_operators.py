@@ -171,6 +171,27 @@ def test_line_dedup_sizes_are_of_sets(spark, monkeypatch):
     assert seen.value.args[0] == [(n, n) for n in want]
 
 
+def test_line_dedup_recall_at_the_threshold(spark):
+    """Pairs of lines with similarity 0.8 to 0.81: at most 1 in 500 shares no band (1e-4 expected)."""
+    rng = random.Random(12)
+    rows, least = [], 1.0
+    for k in range(1500):
+        a = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(152))
+        b = a[:-16] + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(16))
+        x, y = line_shingles(a), line_shingles(b)
+        least = min(least, len(x & y) / len(x | y))
+        rows += [(2 * k, a), (2 * k + 1, b)]
+    assert 0.8 <= least < 0.81
+    lines = spark.createDataFrame(rows, "id long, line string").select(F.xxhash64("line").alias("l1"), F.col("id").alias("l2"), "line")
+    low = {r.l2: [r[f"m{p}"] for p in range(line_dedup.MINIMA)] for r in line_dedup._minima(lines).collect()}
+    missed = few = 0
+    for k in range(1500):
+        same = [x == y for x, y in zip(low[2 * k], low[2 * k + 1])]
+        missed += not any(all(same[p] for p in band) for band in line_dedup.BANDS)
+        few += sum(same) < line_dedup.LEAST_EQUAL
+    assert missed <= 3 and few <= 3
+
+
 def test_line_dedup_edges(spark):
     out = line_dedup.dedup_lines(frame(spark, EDGE)).collect()
     got = sorted(((r.row.doc_id or 0), r.text, r.n_lines, r.n_removed) for r in out if r.text is not None)
