@@ -10,10 +10,12 @@ shift, gives the surrogate, so equal entities get equal surrogates in every docu
 entity stays itself where its range holds two values.  Given names are exchanged inside
 the list of their gender and script; card numbers keep a valid check digit if they had
 one; IPv4 octets stay in range; national numbers keep the country code; case and
-punctuation follow the mention.
+punctuation follow the mention.  Other names never become a listed given name, and gain
+or lose no family name's ending, so the ranges of all names are disjoint.
 
 ``collisions`` checks the outcome over a whole corpus: entities whose surrogate another
-entity has too.  ``replace`` raises if there are any, unless told not to look.
+entity has too.  There are none by construction; ``replace`` raises should that ever be
+broken, unless told not to look.
 
 Defined results.  A null text stays null, an empty one empty.  Rows that repeat a doc_id
 are replaced one by one.  Overlapping detections: the one that begins first, then the
@@ -48,6 +50,7 @@ GIVEN = {
 }
 TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Dr": "", "Prof": "", "Herr": "m", "Frau": "f", "Mme": "f", "Madame": "f", "Monsieur": "m",
           "Señor": "m", "Señora": "f", "г-н": "m", "г-жа": "f"}
+ENDINGS = ("ова", "ева", "ина", "ская", "ов", "ев", "ин", "ский", "ova", "ov")
 CLASSES = ("0123456789", "aeiouy", "bcdfghjklmnpqrstvwxz", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ")
 
 _KIND = {c: k for k in CLASSES for c in k}
@@ -144,6 +147,8 @@ class Keyed:
         if size < 2:
             return x
         shift = 1 + self._number(tweak, size, "shift", below=size - 1)
+        while math.gcd(shift, size) > 1:         # one cycle: walking on meets every other value first
+            shift += 1
         return self._rounds((self._rounds(x, size, tweak, True) + shift) % size, size, tweak, False)
 
     def rewritten(self, text: str, tweak: str, spared: int = 0) -> str:
@@ -166,8 +171,8 @@ class Keyed:
 def canonical(kind: str, text: str) -> str:
     if kind in ("email", "name"):
         return text.lower()
-    if kind == "ip":
-        return text
+    if kind == "ip":                             # leading zeros name the same address
+        return ".".join(str(int(x)) for x in text.split("."))
     digits = re.sub(r"[^0-9]", "", text)
     return digits[-10:] if kind == "phone" and len(digits) > 10 else digits
 
@@ -186,6 +191,10 @@ def _digits(keyed: Keyed, kind: str, digits: str) -> str:
             return out
 
 
+def _ending(name: str) -> str:
+    return next((e for e in ENDINGS if name.endswith(e) and len(name) > len(e) + 1), "")
+
+
 def surrogate(keyed: Keyed, kind: str, canon: str, gender: str) -> str:
     """The surrogate of a canonical entity, in canonical form."""
     if kind == "ip":
@@ -205,9 +214,13 @@ def surrogate(keyed: Keyed, kind: str, canon: str, gender: str) -> str:
         if canon in _GENDER:
             names = GIVEN[_GENDER[canon]]
             return names[keyed.permuted(names.index(canon), len(names), "given" + "".join(_GENDER[canon]))]
-        # A Slavic family name keeps its gendered ending.
-        end = next((e for e in ("ова", "ева", "ина", "ская", "ов", "ев", "ин", "ский", "ova", "ov") if canon.endswith(e) and len(canon) > len(e) + 1), "")
-        return keyed.rewritten(canon[:len(canon) - len(end)], "family" ) + end
+        # A Slavic family name keeps its gendered ending.  Names of each ending, or of none,
+        # have surrogates among themselves: others, and given names, are walked past.
+        out, end = canon, _ending(canon)
+        while True:
+            out = keyed.rewritten(out[:len(out) - len(end)], "family") + end
+            if out not in _GENDER and _ending(out) == end:
+                return out
     return _digits(keyed, kind, canon)
 
 

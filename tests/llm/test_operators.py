@@ -350,6 +350,23 @@ def test_surrogates(spark):
     assert len({surrogates.surrogate(keyed, "number", c, "") for c in cards}) == len(cards)
 
 
+def test_surrogate_names_never_collide(spark):
+    import itertools
+    keyed = surrogates.Keyed(b"k")
+    shape = ["".join(p) for p in itertools.product("aeiouy", surrogates.CLASSES[2], "aeiouy")]     # holds eva
+    shape += ["".join(p) for p in itertools.product("bcd", "aeiouy", "o", surrogates.CLASSES[2])]  # may end in ov
+    shape += [a + b + "ina" for a, b in itertools.product("irn", "rn")] + [a + b + "ина" for a, b in itertools.product("аеиоу", surrogates.CLASSES[4])]
+    shape += [a + "ov" for a in ("sm", "br", "ab", "petr")]
+    names = sorted({*shape, *surrogates._GENDER})
+    new = {n: surrogates.surrogate(keyed, "name", n, "") for n in names}
+    assert len(set(new.values())) == len(names) and all(n != x for n, x in new.items())
+    assert all((n in surrogates._GENDER) == (x in surrogates._GENDER) for n, x in new.items())
+    text = " ".join(f"Mr {n.capitalize()}." for n in names) + " At 10.2.3.4, 10.02.3.4."
+    out = surrogates.replace(frame(spark, [(1, text, "s")]), b"k").collect()
+    assert len(out) == 1 and out[0].n_entities == len(names) + 2
+    assert len(set(re.findall(r"[\d.]+\d", out[0].text))) == 1
+
+
 def plain_path(unit, table, first_byte, longest):
     best = [(0.0, 0, 0)]
     for hi in range(1, len(unit) + 1):
