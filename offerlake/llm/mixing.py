@@ -5,7 +5,9 @@ times its own size and its excess goes to the others by weight (water-filling).
 Schedule: slot i of N carries one block of B words.  The golden-ratio point
 frac(i * phi), in 32-bit fixed point, falls into one source's interval of the cumulative
 targets, so that after any number of slots every source has its share to within a few
-blocks.  A source's k-th slot carries its k-th block: its documents stand in a keyed
+blocks.  A source has as many slots as its target has blocks: those it lacks follow at the
+end, those it has too many carry nothing, and its last slot carries only the words left to
+its target (rounded).  A source's k-th slot carries its k-th block: its documents stand in a keyed
 shuffle, one after another, repeated whole up to ``repeats`` times, and are cut into
 blocks of B words.
 
@@ -18,7 +20,7 @@ Defined results.  A null or empty text, or one without words, has size 0 and is
 taken.  A null source is a source of its own, last in the order; the empty string is an
 ordinary source.  Rows that repeat a doc_id are separate rows with the same shuffle key
 (ties are ordered by size).  Extra columns are ignored.  An empty table gives an empty
-mix.  The last slots of a source without any block left carry nothing.
+mix.
 """
 
 from __future__ import annotations
@@ -41,8 +43,8 @@ def n_words(text: Column) -> Column:
 
 
 def targets(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) -> DataFrame:
-    """(source, size) rows -> one row per source: source, source_size, target, its place in
-    the order, the words of all sources before it and the cumulative target up to it."""
+    """(source, size) rows -> one row per source: source, source_size, target, the same in
+    whole words, its place in the order and the cumulative target up to it."""
     per = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     order = Window.orderBy(F.col("source").asc_nulls_last())       # over sources, not rows
     cycle = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
@@ -58,6 +60,7 @@ def targets(docs: DataFrame, weights=WEIGHTS, repeats: int = REPEATS) -> DataFra
             break
         level, full = (total - used) / rest, n
     per = per.withColumn("target", F.least(cap.cast("double"), F.col("weight") * F.lit(level)))
+    per = per.withColumn("words", F.round("target").cast("bigint"))
     return per.withColumn("upto", F.sum("target").over(Window.orderBy("place")))
 
 
@@ -78,8 +81,8 @@ def _number(df: DataFrame, key: list[str], bucket: str, order: list, value: Colu
               .drop("__v", "__in", "__base", "__bucket", *[f"__{k}" for k in key]))
 
 
-def schedule(sources: DataFrame, slots: int) -> DataFrame:
-    """Slot -> source place and rank of the slot among its source's slots."""
+def schedule(sources: DataFrame, slots: int, block: int) -> DataFrame:
+    """Slot -> source place and rank of the slot among its source's slots, as many as its target needs."""
     spark = sources.sparkSession
     total = sources.agg(F.max("upto")).first()[0] or 0.0
     if not slots or not total:
@@ -94,7 +97,14 @@ def schedule(sources: DataFrame, slots: int) -> DataFrame:
     slot = slot.withColumn("cell", F.expr("point div 1048576"))
     slot = slot.join(cuts, "cell").where("point >= low and point < high").select("slot", "place")
     slot = slot.withColumn("part", F.expr(f"slot div {ROWS_PER_BUCKET}"))
-    return _number(slot, ["place"], "part", ["slot"], F.lit(1), "mix-slots").select("slot", "place", F.col("before").alias("rank"))
+    slot = materialize(_number(slot, ["place"], "part", ["slot"], F.lit(1), "mix-slots").select("slot", "place", F.col("before").alias("rank")), "mix-drawn")
+    need = sources.select("place", F.expr(f"cast(ceil(words / {block}) as bigint)").alias("need"))
+    have = slot.groupBy("place").agg(F.count("*").alias("have"))
+    need = materialize(need.join(have, "place", "left").select("place", "need", F.coalesce("have", F.lit(0)).alias("have")), "mix-needed")
+    lack = need.where("need > have").withColumn("base", F.expr("sum(need - have) over (order by place) - (need - have)"))      # over sources, not rows
+    more = (lack.withColumn("rank", F.explode(F.expr("sequence(have, need - 1)")))
+                .select((F.lit(slots) + F.col("base") + F.col("rank") - F.col("have")).alias("slot"), "place", "rank"))
+    return slot.join(need, "place").where("rank < need").select("slot", "place", "rank").union(more)
 
 
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
@@ -111,19 +121,18 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     block = max(1, min(block_words, total // slots))
     parts = max(1, -(-n // ROWS_PER_BUCKET))
     rows = rows.withColumn("part", F.expr(f"pmod(shiftright(shuffle, 32), {parts})"))
-    by_place = sources.select(F.col("source").alias("__source"), "place", "source_size", "target")
+    by_place = sources.select(F.col("source").alias("__source"), "place", "source_size", "target", "words")
     rows = rows.join(by_place, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     # Rows of a source in shuffled order; "row" numbers them over all sources.
     rows = _number(rows, ["place"], "part", ["shuffle", "doc_id", "size"], F.col("size"), "mix-places")
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "mix-placed")
 
-    plan = schedule(sources, total // block if total else 0)
+    plan = schedule(sources, total // block if total else 0, block)
     runs = (rows.where("size > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
                 .withColumn("lo", F.expr("epoch * source_size + before")).withColumn("hi", F.expr("lo + size")))
-    # Epochs that no slot of the source reaches are left out before they are cut.
-    reach = plan.groupBy("place").agg(((F.max("rank") + 1) * block).alias("reach"))
-    runs = (runs.join(reach, "place").where("lo < reach")
-                .withColumn("block", F.explode(F.expr(f"sequence(lo div {block}, (least(hi, reach) - 1) div {block})"))))
+    # Epochs and blocks beyond the source's target are left out before they are cut.
+    runs = (runs.where("lo < words").withColumn("hi", F.least("hi", "words"))
+                .withColumn("block", F.explode(F.expr(f"sequence(lo div {block}, (hi - 1) div {block})"))))
     pieces = (runs.join(plan, (runs["place"] == plan["place"]) & (runs["block"] == plan["rank"]))
                   .select("slot", "block", "row", "epoch",
                           (F.greatest("lo", F.col("block") * block) - F.col("lo")).alias("from"),

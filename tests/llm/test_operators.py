@@ -458,6 +458,21 @@ def test_mixing(spark):
     assert sum(r.taken for r in mixing.taken(frame(spark, EDGE)).collect()) > 0
 
 
+def test_mix_takes_tiny_sources(spark):
+    """Sources far below one block come as near their targets as the large ones."""
+    rng = random.Random(2)
+    rows = [(i, "w " * 400, "big" if i % 2 else "large") for i in range(60)] + [(100 + k, "t " * rng.randrange(1, 40), f"s{k:02}") for k in range(40)]
+    documents, parts = mixing.mix(frame(spark, rows), block_words=1024, slots=1)
+    taken = {r.row: r.n for r in parts.groupBy("row").agg(F.sum(F.col("to") - F.col("from")).alias("n")).collect()}
+    got, target = {}, {}
+    for r in documents.collect():
+        got[r.source] = got.get(r.source, 0) + taken.get(r.row, 0)
+        target[r.source] = r.target
+    assert len(target) == 42 and all(abs(got[s] - target[s]) <= 1 for s in target)
+    assert parts.groupBy("slot").agg(F.sum(F.col("to") - F.col("from")).alias("n")).where("n > 1024").count() == 0
+    assert parts.groupBy("slot").agg(F.countDistinct("block").alias("n")).where("n > 1").count() == 0
+
+
 def test_mix_pieces_cover_slots(spark):
     rows = [(i, prose(random.Random(i), 40), "ab"[i % 2]) for i in range(30)]
     documents, parts = mixing.mix(frame(spark, rows), block_words=32, slots=1)
