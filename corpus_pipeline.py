@@ -16,8 +16,8 @@ from offerlake.llm import minhash_dedup, mixing, pieces, toxicity
 from offerlake.llm.spark import materialize, read
 from offerlake.session import scratch_path
 
-#: A classifier and a shuffled mix are no SQL: the tests compare run() with the stages' own
-#: brute-force versions instead.
+#: A classifier and a shuffled mix are no SQL: tests/llm/test_pipeline.py holds the stages
+#: against small fixtures instead; run() as a whole has no test.
 ORACLE_SQL = None
 
 

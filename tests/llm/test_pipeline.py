@@ -1,8 +1,13 @@
-"""The pipeline's stages and run() against plain Python."""
+"""The pipeline's stages against plain Python, and the SQL of OP1 and OP5 on small fixtures."""
 
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
+from offerlake.llm import minhash_dedup, toxicity, url_filter
+from offerlake.llm.sql import OP1, OP5
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -52,3 +57,50 @@ def test_near_duplicates_keep_one_row_of_each_group(spark):
     assert sum(got.values()) == len(groups) + len(single) and len(groups) == 3
     assert out.columns == frame(spark, ROWS).columns
     assert corpus_pipeline.near_duplicates(spark, frame(spark, ROWS).limit(0), "").count() == 0
+
+
+def test_toxicity_filter_judges_rows_by_text(spark):
+    rows = [(i, f"w{i} w{i + 1} zonk blarg" if i % 3 == 0 else f"w{i} w{i + 1} w{i + 2}") for i in range(120)]
+    rows += [(500, "zonk blarg zonk"), (500, "w1 w2"), (None, "zonk blarg zonk"), (None, "w1 w2"), (501, None), (502, ""), (503, "w1"), (503, "w1")]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(120)], "doc_id bigint, quality int, toxic int")
+    field = toxicity.train(docs, labels)
+    want = Counter()
+    for k, r in enumerate(toxicity.score(frame(spark, rows).withColumn("doc_id", F.monotonically_increasing_id()).coalesce(1), field).collect()):
+        want[rows[k]] += not r.predicted
+    assert want[(500, "zonk blarg zonk")] == want[(None, "zonk blarg zonk")] == 0 < want[(None, "w1 w2")]
+    path = spark.conf.get("spark.checkpoint.dir") + "/toxic-stage"
+    labels.write.mode("overwrite").parquet(f"{path}/labels.parquet")
+    out = corpus_pipeline.toxicity_filter(spark, docs, path)
+    assert pairs(out) == +want and out.columns == docs.columns
+
+
+def test_line_dedup_stage_keeps_rows_and_columns(spark):
+    line = "a line of some length that comes back"
+    rows = [(1, f"{line}\nfirst"), (2, f"second\n{line}"), (None, line), (3, None), (3, "")]
+    docs = frame(spark, rows).withColumn("row", F.lit(7)).withColumn("gone", F.lit("x"))
+    out = corpus_pipeline.line_dedup(spark, docs, "")
+    assert pairs(out) == Counter([rows[0], (2, "second"), (None, ""), (3, None), (3, "")])
+    assert out.columns == docs.columns and out.where("row <> 7 or gone <> 'x'").count() == 0
+    assert all((r.n_chars or 0) == len(r.text or "") for r in out.collect())
+
+
+def test_mix_stage_takes_whole_passes(spark):
+    rows = [(i, words(0, 10)) for i in range(8)] + [(None, words(0, 10)), (9, None)]
+    out = corpus_pipeline.mix_sources(spark, frame(spark, rows), "")
+    assert 0 < out.count() <= 3 * 9 and set(pairs(out)) <= set(rows[:-1]) and out.columns == frame(spark, rows).columns
+
+
+def test_sql_of_op1_and_op5(spark):
+    duckdb = pytest.importorskip("duckdb")
+    texts = [BASE, BASE + " x", BASE.upper(), OTHER, OTHER[:-2], "one", "One", "", None, "a b"]
+    urls = ["http://www.EXAMPLE.com/en/1?x", "https://m.example.com/en/25#top", None, "no scheme.com/en/", "http://x.net/es/", "http://net/fr/z", "http://notexample.com/en/", ""]
+    docs, pages = frame(spark, list(enumerate(texts))), spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    rules = spark.createDataFrame(url_filter.RULES, "host string, path string, verdict string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)"), con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts))), con.executemany("INSERT INTO pages VALUES (?, ?)", list(enumerate(urls)))
+    for sql, df in ((OP1, minhash_dedup.near_duplicates(docs, shingle=2)), (OP5, url_filter.judge(pages, rules))):
+        res = con.execute(sql)
+        names = [d[0] for d in res.description]
+        assert Counter(map(tuple, res.fetchall())) == Counter(map(tuple, df.select(names).collect())) and set(names) == set(df.columns)
