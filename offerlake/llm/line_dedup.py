@@ -3,9 +3,8 @@
 A line's set is its shingles of ``SHINGLE`` UTF-16 code units (a shorter line is one
 shingle); blank lines take no part.  A line encoded as UTF-16 has fixed-width units, so a
 shingle is cut from the bytes in constant time.  Each shingle is hashed once; a
-permutation is a rotation and an exclusive-or of that hash, and the minima are taken over
-four neighbouring shingles at a time inside generated code before they meet the grouped
-minimum of the line.  Bands of the minima are hash buckets, members of a bucket are
+permutation is a rotation and an exclusive-or of that hash inside the grouped minimum of
+the line.  Bands of the minima are hash buckets, members of a bucket are
 compared with hubs (see ``components``), and a pair is a link if the exact Jaccard
 similarity of the two shingle sets is at least ``percent`` / 100.  Distributed union-find
 joins links; of each component's occurrences only the first stays, by (doc_id, row, line
@@ -37,7 +36,6 @@ LEAST_EQUAL = 21
 _rng = random.Random(20)
 _XOR = [_rng.getrandbits(63) for _ in range(MINIMA)]
 _TURN = [(p * 19) % 63 + 1 for p in range(MINIMA)]            # all different
-STRIDE = 4                    # shingles hashed in one step; more would outgrow one compiled method
 
 
 def _units(line: Column) -> Column:
@@ -52,17 +50,12 @@ def _minima(lines: DataFrame) -> DataFrame:
     """(l1, l2, line) -> one row per distinct line: l1, l2 and its minima."""
     u = lines.select("l1", "l2", _units(F.col("line")).alias("u"))
     u = u.select("l1", "l2", "u", _n_shingles(F.col("u")).alias("n"))
-    step = u.select("l1", "l2", "u", "n", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {STRIDE}").cast("int"))).alias("step"))
-    # Past the end the last shingle is taken again, which changes no minimum.
-    hashed = step.select("l1", "l2", *[
-        F.expr(f"xxhash64(substring(u, 2 * least({STRIDE} * step + {j}, n - 1) + 1, {2 * SHINGLE}))").alias(f"h{j}") for j in range(STRIDE)])
-
-    def turned(h: str, p: int) -> str:
-        return f"((shiftleft({h}, {_TURN[p]}) | shiftrightunsigned({h}, {64 - _TURN[p]})) ^ {_XOR[p]}L)"
-
-    low = hashed.select("l1", "l2", *[
-        F.expr("least(" + ", ".join(turned(f"h{j}", p) for j in range(STRIDE)) + ")").alias(f"m{p}") for p in range(MINIMA)])
-    return low.groupBy("l1", "l2").agg(*[F.min(f"m{p}").alias(f"m{p}") for p in range(MINIMA)])
+    step = u.select("l1", "l2", "u", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("step"))
+    # The turned hash stands inside min(): aggregates are compiled one by one, while 42
+    # projected columns outgrow one compiled method and are interpreted.
+    hashed = step.select("l1", "l2", F.expr(f"xxhash64(substring(u, 2 * step + 1, {2 * SHINGLE}))").alias("h"))
+    return hashed.groupBy("l1", "l2").agg(*[
+        F.min(F.expr(f"(shiftleft(h, {_TURN[p]}) | shiftrightunsigned(h, {64 - _TURN[p]})) ^ {_XOR[p]}L")).alias(f"m{p}") for p in range(MINIMA)])
 
 
 def _set(u: Column) -> Column:
