@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from offerlake.llm import ann, line_dedup, mixing, pieces, quality_crf, secret_scan, surrogates, toxicity, url_filter
+from offerlake.llm import ann, filter_audit, line_dedup, mixing, phrases, pieces, quality_crf, secret_scan, sharding, surrogates, toxicity, url_filter
 from offerlake.llm.minhash_dedup import near_duplicates
 from offerlake.llm.spark import read
 from offerlake.llm.sql import ORACLES  # noqa: F401
@@ -59,8 +59,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read(spark, sf_dir, "documents"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_line_dedup, op3_quality_crf, op4_secret_scan, op5_url_filter, op6_pii_surrogates, op7_sentencepiece, op8_mixing, op9_ann, op10_toxicity, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_line_dedup, op3_quality_crf, op4_secret_scan, op5_url_filter, op6_pii_surrogates, op7_sentencepiece, op8_mixing, op9_ann, op10_toxicity, op11_filter_audit, op12_sharding, op13_phrases, pipeline)}
