@@ -56,8 +56,9 @@ def repeated(texts: DataFrame) -> DataFrame:
     shared = texts.groupBy("h", "h2").agg(F.count("*").alias("k")).where("k > 1").select(F.col("h").alias("s_h"), F.col("h2").alias("s_h2"))
     shared = materialize(shared, "audit-shared")
     some = texts.join(small(shared), (F.col("h") == F.col("s_h")) & (F.col("h2") == F.col("s_h2")), "left_semi")
-    first = some.groupBy(F.col("h").alias("f_h"), F.col("text").alias("f_text")).agg(F.min("doc_id").alias("f_id"))
-    return some.join(first, (F.col("h") == F.col("f_h")) & (F.col("text") == F.col("f_text")) & (F.col("f_id") < F.col("doc_id")), "left_semi")
+    # Written first: a join whose sides are plain shuffles is one that Spark can split.
+    first = materialize(some.groupBy(F.col("h").alias("f_h"), F.col("text").alias("f_text")).agg(F.min("doc_id").alias("f_id")), "audit-first")
+    return some.join(small(first), (F.col("h") == F.col("f_h")) & (F.col("text") == F.col("f_text")) & (F.col("f_id") < F.col("doc_id")), "left_semi")
 
 
 def combinations(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
