@@ -13,15 +13,16 @@ by one subtraction and one product, whatever its length.
   (its size follows the counted fingerprints); a bit that two share lets through an n-gram
   too many, never one too few.
 * Text round: the n-grams that passed are told apart by their words themselves, each with
-  a pointer to its first occurrence (text key, word number), and only one phrase per batch
-  is cut out of the text.  The shuffle adds up counts by phrase and keeps the least pointer.
+  a pointer to an occurrence (the key of its text, a 64-bit hash), and each phrase is cut
+  out of a batch's texts only once.  The shuffle adds up counts by phrase and keeps the
+  least pointer.
   Phrases of one fingerprint part here, so that collisions change no count, and the
   threshold holds for exact counts.
 * Scores, in integers: cuts of a candidate meet their parts' counts in equi-joins.
 
 Scale.  Counts are added up in the task before every shuffle, so frequent words cost one row
 per task.  Nothing is collected but the bitmaps, whose size is bounded.  The best phrases
-of a language are picked by a row number that Spark limits before the shuffle.
+of a language are picked share by share, then among ``SHARES`` times ``top`` rows at most.
 
 Defined results.  A null text is empty.  A null language is ``und``.  Rows that repeat a
 doc_id, or a text, all count.  Equal scores go by count, then by the bytes of the phrase.
@@ -44,6 +45,7 @@ LEAST, LONGEST, TOP = 30, 4, 2000
 MAP_BITS = 27                 # a bitmap of fingerprints has 2**27 bits (16 MB) at most
 BLOCK_BITS = 20               # built in blocks of 2**20 bits
 BITS_PER_ENTRY = 32
+SHARES = 64                   # a language's phrases are ranked in so many shares first
 UNKNOWN = "und"
 
 _STOP = np.zeros(256, bool)
@@ -69,7 +71,6 @@ class Runs:
         self.starts, self.ends, first = W.spans(data, bounds, _WORD)
         n = len(self.starts)
         self.text = np.repeat(np.arange(len(bounds) - 1), np.diff(first))     # of every word
-        self.inner = np.arange(n) - first[self.text] if n else np.zeros(0, np.int64)
         stops = np.concatenate([[0], np.cumsum(_STOP[data])])
         # Does the next word belong to the same piece?
         self.joined = np.zeros(n, bool)
@@ -164,8 +165,7 @@ def _cut(maps, longest: int):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([names[c] for c in codes[text].tolist()], pa.string()), pa.array(np.full(len(lead), n, np.int32)),
                          phrase.cast(pa.binary()).cast(pa.string()), pa.array(counts.astype(np.int64)),
-                         pa.array(keys[first + text]), pa.array(runs.inner[lead].astype(np.int32))],
-                        names=["lang", "size", "phrase", "n", "key", "word"])
+                         pa.array(keys[first + text])], names=["lang", "size", "phrase", "n", "key"])
     return run
 
 
@@ -190,9 +190,9 @@ def _bitmap(kept: DataFrame):
 
 
 def counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
-    """Exact counts: (lang, size, phrase, n, key, word) of every phrase of 1 to ``longest``
-    words with at least ``least`` occurrences, with the text key and the word number of one
-    occurrence, and (lang, n) with all words of a language."""
+    """Exact counts: (lang, size, phrase, n, key) of every phrase of 1 to ``longest`` words
+    with at least ``least`` occurrences, with the key of a text that holds it, and (lang, n)
+    with all words of a language."""
     arrow_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
                         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -206,17 +206,16 @@ def counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", l
             totals = added.where("lang is not null").select("lang", "n")
         maps.append(_bitmap(added.where("lang is null").select("mark")))
     keyed = texts.withColumn("key", F.xxhash64("text"))
-    found = keyed.mapInArrow(_cut(maps, longest), "lang string, size int, phrase string, n bigint, key bigint, word int")
-    found = (found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"), F.min(F.struct("key", "word")).alias("at"))
-                  .where(F.col("n") >= least).select("lang", "size", "phrase", "n", "at.key", "at.word"))
+    found = keyed.mapInArrow(_cut(maps, longest), "lang string, size int, phrase string, n bigint, key bigint")
+    found = (found.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"), F.min("key").alias("key"))
+                  .where(F.col("n") >= least))
     return materialize(found, "phrases-exact"), totals
 
 
 def collocations(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, longest: int = LONGEST,
                  top: int = TOP, cover_percent: int = 80) -> DataFrame:
-    """lang, rank, phrase, a, l, r, n, score, cut (words of the first part), at_key and
-    at_word (one occurrence: xxhash64 of the text, number of its first word) of the ``top``
-    best phrases of every language.
+    """lang, rank, phrase, a, l, r, n, score, cut (words of the first part) and at_key
+    (xxhash64 of a text that holds the phrase) of the ``top`` best phrases of every language.
 
     A phrase of two or more words is cut in two where floor(2000000 a / (l + r)) is lowest
     (ties: shortest first part).  It is dropped if a longer frequent phrase holds it and has
@@ -224,7 +223,7 @@ def collocations(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
     f, totals = counts(docs, text_col=text_col, lang_col=lang_col, least=least, longest=longest)
     part = lambda name: small(f.select(F.col("lang").alias(f"{name}_lang"), F.col("phrase").alias(name), F.col("n").alias(f"{name}_n")), f)
     words = F.split("phrase", " ")
-    cand = f.where("size >= 2").select("lang", "size", "phrase", F.col("n").alias("a"), "key", "word", words.alias("w"))
+    cand = f.where("size >= 2").select("lang", "size", "phrase", F.col("n").alias("a"), "key", words.alias("w"))
 
     cuts = cand.select("lang", "phrase", "a", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("cut"), "w", "size")
     cuts = cuts.select("lang", "phrase", "a", "cut", F.array_join(F.slice("w", 1, F.col("cut")), " ").alias("p1"),
@@ -241,11 +240,14 @@ def collocations(docs: DataFrame, *, text_col: str = "text", lang_col: str = "la
                    .groupBy("c_lang", "c_phrase").agg(F.max("a").alias("most")))
     kept = (cand.join(cover, (F.col("lang") == F.col("c_lang")) & (F.col("phrase") == F.col("c_phrase")), "left")
                 .where(F.col("most").isNull() | (100 * F.col("most") < cover_percent * F.col("a")))
-                .select("lang", "phrase", "a", "key", "word"))
-    scored = kept.join(low, ["lang", "phrase"]).select("lang", "phrase", "a", "low.l", "low.r", "low.score", "low.cut", "key", "word")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+                .select("lang", "phrase", "a", "key"))
+    scored = kept.join(low, ["lang", "phrase"]).select("lang", "phrase", "a", "low.l", "low.r", "low.score", "low.cut", "key")
+    # The best of every share of a language first: what meets in one task is bounded.
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    scored = scored.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+    some = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("rank") <= top)
+    best = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     total = F.broadcast(totals.select(F.col("lang").alias("t_lang"), F.col("n")))             # one row per language
     return (best.join(total, F.col("lang") == F.col("t_lang"))
                 .select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score",
-                        F.col("cut").cast("bigint").alias("cut"), F.col("key").alias("at_key"), F.col("word").cast("bigint").alias("at_word")))
+                        F.col("cut").cast("bigint").alias("cut"), F.col("key").alias("at_key")))
