@@ -1,10 +1,10 @@
 """Raw JSON feed documents -> positioned records.
 
 A feed document is either a JSON array of records or a JSON object whose
-values are the records (keyed by id).  Each document is read whole
-(``wholetext``: one task per file, files are not splittable), parsed once,
-and exploded into ``(pos, key, raw)`` rows where ``raw`` keeps each record's
-original JSON text; typed parsing happens later, from those rows.
+values are the records (keyed by id).  ``read_feed`` cuts documents into chunks of
+records by byte ranges (see ``documents``); ``explode_records`` takes documents that
+are whole in a row.  Either way records become ``(pos, key, raw)`` rows where ``raw``
+keeps each record's original JSON text; typed parsing happens later, from those rows.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql.utils import AnalysisException
 from offerlake.operators.keys import in_order
 from offerlake.schemas import BRONZE_ROWS
 from offerlake.session import materialize
+from offerlake.sources import documents
 
 TWIN_URL_RE = r"(?i)indeed\."
 
@@ -80,15 +81,19 @@ def explode_records(docs: DataFrame) -> DataFrame:
     A key repeated in one object keeps its first position and its last value,
     as a JSON object loaded into a dictionary does.
     """
-    docs = docs.withColumn("kind", _kind())
-    rows = docs.select("file", F.when(F.col("kind") == "[", F.from_json("value", "array<string>")).alias("arr"),
-                       F.when(F.col("kind") == "{", F.map_entries(F.from_json("value", "map<string,string>"))).alias("obj"))
+    return _number(docs.select("file", F.lit(0).cast("bigint").alias("chunk"), _kind().alias("kind"), "value"))
+
+
+def _number(chunks: DataFrame) -> DataFrame:
+    """(pos, key, raw) of (file, chunk, kind, value) documents, in order of file and chunk."""
+    rows = chunks.select("file", "chunk", F.when(F.col("kind") == "[", F.from_json("value", "array<string>")).alias("arr"),
+                         F.when(F.col("kind") == "{", F.map_entries(F.from_json("value", "map<string,string>"))).alias("obj"))
     entries = F.coalesce(
         F.transform("arr", lambda r: F.struct(F.lit(None).cast("string").alias("key"), r.alias("raw"))),
         F.transform("obj", lambda e: F.struct(e["key"].alias("key"), e["value"].alias("raw"))),
         F.array().cast("array<struct<key:string,raw:string>>"))
-    rows = rows.select("file", F.posexplode(entries).alias("p", "e")).select(
-        "file", F.col("p").cast("bigint").alias("p"), F.col("e.key").alias("key"), F.col("e.raw").alias("raw"))
+    rows = rows.select("file", "chunk", F.posexplode(entries).alias("p", "e")).select(
+        "file", F.struct("chunk", F.col("p").cast("bigint").alias("p")).alias("p"), F.col("e.key").alias("key"), F.col("e.raw").alias("raw"))
     rows = materialize(rows, "feed-records")             # each document is parsed once
     keyed = (rows.where(F.col("key").isNotNull()).groupBy("file", "key")
                  .agg(F.min("p").alias("p"), F.max_by("raw", "p").alias("raw")))
@@ -102,9 +107,23 @@ def explode_records(docs: DataFrame) -> DataFrame:
                   .select((F.col("__off") + F.col("__i")).cast("bigint").alias("pos"), "key", "raw"))
 
 
+def read_records(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """(pos, key, raw) of the documents under ``path``, each read by as many tasks as it has
+    byte ranges; None when the path does not exist."""
+    if not path:
+        return None
+    try:
+        _no_empty_file(spark, path)
+        return _number(documents.chunks(spark, path))
+    except AnalysisException as e:
+        if missing(e):
+            return None
+        raise
+
+
 def read_feed(spark: SparkSession, path: str | None) -> DataFrame:
-    docs = read_documents(spark, path)
-    return empty_rows(spark) if docs is None else explode_records(docs)
+    rows = read_records(spark, path)
+    return empty_rows(spark) if rows is None else rows
 
 
 def explode_twin_map(docs: DataFrame) -> DataFrame:
