@@ -78,14 +78,9 @@ _TYPES = {
 }
 
 
-def contract_violations(df: DataFrame, contract: Sequence[dict]) -> DataFrame:
-    """Violations of a data contract: schema (presence, type) and data rules.
-
-    ``contract`` lists fields as dicts with ``field``, ``type``, ``nullable``,
-    optional ``unique``, ``enum``, ``max_of`` (this field must not exceed the
-    named one).  Returns (rule, field, violations) rows with violations > 0.
-    """
-    spark = df.sparkSession
+def contract_rules(df: DataFrame, contract: Sequence[dict]) -> tuple[list[tuple], list[tuple[str, str, Column]], list[str]]:
+    """A contract's schema violations (rule, field, 1) in ``df``, its row rules (rule, field,
+    condition of a violation) and its unique fields."""
     present = {f.name: f.dataType for f in df.schema.fields}
     schema_rows = []
     rules: list[tuple[str, str, Column]] = []
@@ -109,6 +104,18 @@ def contract_violations(df: DataFrame, contract: Sequence[dict]) -> DataFrame:
             rules.append(("min_le_max", name, F.col(name) > F.col(spec["max_of"])))
         if spec.get("unique"):
             uniques.append(name)
+    return schema_rows, rules, uniques
+
+
+def contract_violations(df: DataFrame, contract: Sequence[dict]) -> DataFrame:
+    """Violations of a data contract: schema (presence, type) and data rules.
+
+    ``contract`` lists fields as dicts with ``field``, ``type``, ``nullable``,
+    optional ``unique``, ``enum``, ``max_of`` (this field must not exceed the
+    named one).  Returns (rule, field, violations) rows with violations > 0.
+    """
+    spark = df.sparkSession
+    schema_rows, rules, uniques = contract_rules(df, contract)
     out = spark.createDataFrame(schema_rows, "rule string, field string, violations bigint")
     if rules:
         out = out.unionByName(column_rules(df, rules))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from offerlake.sources import sinks
+
 SEARCH_COLUMNS = ["source", "title", "company", "city", "departement", "contract", "remote",
                   "sal_min_eur", "sal_max_eur", "has_salary", "url"]
 MAX_LIMIT = 500
@@ -41,7 +43,7 @@ def read_mart(spark: SparkSession, name: str, catalog: dict[str, str]) -> DataFr
 def register_gold(spark: SparkSession, gold_dir: str, names: list[str]) -> list[str]:
     """Expose exported gold tables as session views named after the tables."""
     for n in names:
-        spark.read.parquet(f"{gold_dir.rstrip('/')}/{n}.parquet").createOrReplaceTempView(n)
+        sinks.gold_table(spark, gold_dir, n).createOrReplaceTempView(n)
     return names
 
 

@@ -582,12 +582,13 @@ def offer_star_build(spark, sf):
 
     from offerlake.plans import derived_feeds, job
     from offerlake.session import scratch_path
+    from offerlake.sources import sinks
     base = scratch_path(spark, f"derived-{uuid.uuid4().hex[:12]}")
     sources = derived_feeds.write_feeds(spark, sf, f"{base}/raw")
     stats = job.run_job(spark, f"{base}/lake", RUN_DATE, sources, exclude_tags=("fullonly",))
     if not stats["gold_ok"]:
         raise RuntimeError(f"quality gate failed: {stats['failed_checks']}")
-    return spark.read.parquet(f"{base}/lake/gold/fct_offres.parquet")
+    return sinks.gold_table(spark, f"{base}/lake/gold", "fct_offres")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

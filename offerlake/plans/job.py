@@ -28,12 +28,8 @@ class Layout:
         return f"{self.root}/bronze"
 
     @property
-    def silver_offers(self) -> str:
-        return f"{self.root}/silver/offres"
-
-    @property
-    def silver_rejects(self) -> str:
-        return f"{self.root}/silver/rejets_salaire"
+    def silver(self) -> str:
+        return f"{self.root}/silver"
 
     @property
     def warehouse(self) -> str:
@@ -45,16 +41,17 @@ class Layout:
 
 
 def build_silver(spark: SparkSession, layout: Layout, run_date: str) -> dict:
+    """Write, audit, publish: rows are checked and counted while they are written to a
+    version of their own; invalid ones stop the job, and readers keep what they had."""
     rows_a = bronze.read(spark, layout.bronze, "wttj", run_date)
     rows_b = bronze.read(spark, layout.bronze, "indeed", run_date)
     twins = bronze.read(spark, layout.bronze, "cross_site", run_date)
     offers, rejects = silver.build(rows_a, rows_b, twins, run_date)
-    sinks.write_partition(offers, layout.silver_offers, run_date)
-    sinks.write_partition(rejects, layout.silver_rejects, run_date)
-    s = sinks.read_silver(spark, layout.silver_offers, run_date)
-    r = sinks.read_rejects(spark, layout.silver_rejects, run_date)
-    silver.validate(s, strict=True)
-    return silver.stats(s, r, run_date).first().asDict()
+    audited = silver.Audited(offers, rejects)
+    version = sinks.stage_silver(audited.offers, audited.rejects, layout.silver, run_date)
+    stats = audited.stats(run_date)
+    sinks.publish_silver(spark, layout.silver, run_date, version)
+    return stats
 
 
 def _write_stats(spark: SparkSession, layout: Layout, stats: dict) -> None:
@@ -72,7 +69,7 @@ def run_job(spark: SparkSession, root: str, run_date: str, sources: dict[str, st
     _write_stats(spark, layout, stats)               # a run without gold has its statistics, too
     if skip_gold:
         return stats
-    s = sinks.read_silver(spark, layout.silver_offers, run_date)
+    s = sinks.read_silver(spark, layout.silver, run_date)
     tables = gold.build(spark, s, layout.warehouse)
     report = quality.check_report(
         gold.checks(tables["stg_offres"], tables["int_offres_valides"], tables["fct_offres"],

@@ -32,8 +32,8 @@ def lake(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         sources = derived_feeds.write_feeds(spark, sf, f"{base}/raw")
         bronze.ingest(spark, layout.bronze, RUN_DATE, sources)
         build_silver(spark, layout, RUN_DATE)
-        offers = sinks.read_silver(spark, layout.silver_offers, RUN_DATE)
-        rejects = sinks.read_rejects(spark, layout.silver_rejects, RUN_DATE)
+        offers = sinks.read_silver(spark, layout.silver, RUN_DATE)
+        rejects = sinks.read_rejects(spark, layout.silver, RUN_DATE)
         tables = gold.build(spark, offers, layout.warehouse)
         landed = {f"landed_{n}": bronze.read(spark, layout.bronze, n, RUN_DATE) for n in bronze.FEEDS}
         _built[key] = {**tables, **landed, "silver": offers, "rejects": rejects, "stats": silver.stats(offers, rejects, RUN_DATE)}

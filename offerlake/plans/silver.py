@@ -6,11 +6,12 @@ by name.  The twin flag is a left join against the distinct twin URLs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from offerlake.functions import dates, geo, labels, salary, skills, text
 from offerlake.operators.aggregates import side_by_side
+from offerlake.operators.quality import contract_rules, contract_violations
 from offerlake.operators.star import spread_null_key
 from offerlake.schemas import FEED_A_RECORD, FEED_B_RECORD, OPTIONAL_TEXT_COLUMNS, SILVER, SILVER_COLUMNS
 from offerlake.sources.feeds import require, twin_urls
@@ -144,6 +145,12 @@ def build(rows_a: DataFrame, rows_b: DataFrame, twin_rows: DataFrame,
     return a.unionByName(b).select(*SILVER_COLUMNS), rejects
 
 
+def _counts() -> list:
+    return [F.count(F.lit(1)).alias("n_total"), F.count_if(F.col("source") == "WTTJ").alias("n_wttj"),
+            F.count_if(F.col("source") == "Indeed").alias("n_indeed"), F.count_if("is_twin").alias("n_twins_indeed"),
+            F.count_if("has_salary").alias("n_salary")]
+
+
 def stats(silver: DataFrame, rejects: DataFrame, run_date: str) -> DataFrame:
     """One-row run statistics.  Both inputs are reduced to one row each and
     put side by side.  The percentage is rounded half-even,
@@ -151,11 +158,7 @@ def stats(silver: DataFrame, rejects: DataFrame, run_date: str) -> DataFrame:
     n = F.count(F.lit(1))
     sal = F.count_if("has_salary")
     s = silver.agg(
-        F.lit(run_date).alias("run_date"), n.alias("n_total"),
-        F.count_if(F.col("source") == "WTTJ").alias("n_wttj"),
-        F.count_if(F.col("source") == "Indeed").alias("n_indeed"),
-        F.count_if("is_twin").alias("n_twins_indeed"),
-        sal.alias("n_salary"),
+        F.lit(run_date).alias("run_date"), *_counts(),
         F.coalesce(F.bround(F.try_divide(F.lit(100.0) * sal, n.cast("double")), 1), F.lit(0.0))
          .alias("pct_salary"),
     )
@@ -186,11 +189,33 @@ class InvalidRowsError(ValueError):
     pass
 
 
+class Audited:
+    """Offers and rejects whose statistics and rule violations are counted while they are
+    written: observed metrics, which a retried task does not count twice."""
+
+    def __init__(self, offers: DataFrame, rejects: DataFrame):
+        self._schema, rules, _ = contract_rules(offers, SILVER_CONTRACT)
+        self._rules = {f"bad{i}": (rule, field) for i, (rule, field, _) in enumerate(rules)}
+        self._offers, self._rejects = Observation(), Observation()
+        bad = [F.count_if(F.coalesce(test, F.lit(False))).alias(f"bad{i}") for i, (_, _, test) in enumerate(rules)]
+        self.offers = offers.observe(self._offers, *_counts(), *bad)
+        self.rejects = rejects.observe(self._rejects, F.count(F.lit(1)).alias("n_rejects_salaire"))
+
+    def stats(self, run_date: str) -> dict:
+        """The run's statistics, once both tables are written; raises if a row breaks a rule."""
+        seen = self._offers.get
+        found = self._schema + [(*self._rules[k], n) for k, n in seen.items() if k in self._rules and n]
+        if found:
+            raise InvalidRowsError("; ".join(f"{rule}:{field}={n}" for rule, field, n in found))
+        counts = {k: seen.get(k, 0) for k in ("n_total", "n_wttj", "n_indeed", "n_twins_indeed", "n_salary")}
+        share = round(100.0 * counts["n_salary"] / counts["n_total"], 1) if counts["n_total"] else 0.0
+        return {"run_date": run_date, **counts, "pct_salary": share, "n_rejects_salaire": self._rejects.get.get("n_rejects_salaire", 0)}
+
+
 def validate(silver: DataFrame, *, strict: bool = True) -> DataFrame:
     """Row validation of silver (one scan).  Returns the violations; with
     ``strict`` any violation aborts the run, as row validation does in the
     reference."""
-    from offerlake.operators.quality import contract_violations
     v = contract_violations(silver, SILVER_CONTRACT)
     if strict:
         bad = v.collect()          # at most a few rows: one per rule and field

@@ -1,10 +1,11 @@
 """Immutable bronze landing, manifest and time-travel reads.
 
-Layout: ``<root>/<source>/dt=<run_date>/`` holds the exploded raw records
-(``pos``, ``key``, ``raw``) of one run.  A partition, once committed (Spark's
-``_SUCCESS`` marker is there), is never overwritten; later runs of the same date
-leave it untouched.  What a crashed run left without the marker is written anew
-by the next landing, and reading it is an error.
+Layout: ``<root>/<source>/dt=<run_date>/<version>/`` holds the exploded raw records
+(``pos``, ``key``, ``raw``) of one run, and the pointer beside it (see ``published``) names
+the version that counts.  A date, once published, is never replaced: later runs leave it
+untouched, and of several landings at the same time the first to publish decides, whose
+rows all of them read.  What a crashed run left unpublished is not seen; reading a date
+that holds nothing else is an error.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 
 from offerlake.schemas import BRONZE_ROWS
-from offerlake.sources import feeds
+from offerlake.sources import feeds, published
 
 FEEDS = ("wttj", "indeed", "cross_site")
 
@@ -23,26 +24,20 @@ def partition_path(root: str, name: str, run_date: str) -> str:
     return f"{root.rstrip('/')}/{name}/dt={run_date}"
 
 
-def _files(spark: SparkSession, path: str):
-    """Hadoop's file system of a path, and the path in it: any store that Spark reads."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def committed(spark: SparkSession, path: str) -> bool:
-    fs, p = _files(spark, f"{path}/_SUCCESS")
-    return fs.exists(p)
+    return published.current(spark, path) is not None
 
 
 def land(spark: SparkSession, root: str, name: str, src: str | None, run_date: str) -> dict:
     """Land one source for ``run_date``; absent source -> ``present: False``."""
     dest = partition_path(root, name, run_date)
-    docs = feeds.read_documents(spark, src)
-    if docs is None:
+    if not feeds.exists(spark, src):
         return {"source": name, "path": dest, "origin": str(src), "present": False}
-    rows = feeds.explode_twin_map(docs) if name == "cross_site" else feeds.explode_records(docs)
     if not committed(spark, dest):
-        rows.write.mode("overwrite").parquet(dest)
+        rows = feeds.read_twin_map(spark, src) if name == "cross_site" else feeds.read_feed(spark, src)
+        version = published.new_version()
+        rows.write.parquet(f"{dest}/{version}")
+        published.publish(spark, dest, version, exclusive=True)
     return {"source": name, "path": dest, "origin": str(src), "present": True}
 
 
@@ -62,9 +57,10 @@ def read_manifest(spark: SparkSession, root: str) -> dict:
 def read(spark: SparkSession, root: str, name: str, run_date: str) -> DataFrame:
     """Records of ``name`` landed for ``run_date`` (empty when never landed)."""
     dest = partition_path(root, name, run_date)
-    fs, p = _files(spark, dest)
-    if not fs.exists(p):
+    version = published.current(spark, dest)
+    if version is None:
+        fs, p = published.file_system(spark, dest)
+        if fs.exists(p):
+            raise feeds.MalformedFeedError(f"{dest} was not committed; land it again")
         return spark.createDataFrame([], BRONZE_ROWS)
-    if not committed(spark, dest):
-        raise feeds.MalformedFeedError(f"{dest} was not committed; land it again")
-    return spark.read.schema(BRONZE_ROWS).parquet(dest).select("pos", "key", "raw")
+    return spark.read.schema(BRONZE_ROWS).parquet(f"{dest}/{version}").select("pos", "key", "raw")

@@ -40,6 +40,14 @@ def _no_empty_file(spark: SparkSession, path: str) -> None:
                 raise MalformedFeedError(f"feed document is not valid JSON: {st.getPath()} is empty")
 
 
+def exists(spark: SparkSession, path: str | None) -> bool:
+    """Is there a file or folder at ``path`` (or one that the pattern fits)?"""
+    if not path:
+        return False
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p))
+
+
 def read_documents(spark: SparkSession, path: str | None) -> DataFrame | None:
     """One row per file (``file``, ``value``); None when the path does not exist."""
     if not path:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlake.sources import bronze, feeds
+from offerlake.sources import bronze, feeds, published
 
 
 def land_new_documents(spark: SparkSession, source_dir: str, bronze_root: str, name: str,
@@ -28,13 +28,16 @@ def land_new_documents(spark: SparkSession, source_dir: str, bronze_root: str, n
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        marker = f"{dest}/_batch_{batch_id}"
-        fs, path = bronze._files(spark, marker)
-        if bronze.committed(spark, dest) and not fs.exists(path):     # a replayed batch may rewrite its own date
+        own = f"batch{batch_id}"
+        found = published.current(spark, dest)
+        if found is not None and not found.startswith(f"{own}-"):
             raise feeds.MalformedFeedError(f"{dest} is already committed")
-        rows = feeds.explode_twin_map(batch) if name == "cross_site" else feeds.explode_records(batch)
-        rows.write.mode("overwrite").parquet(dest)
-        fs.create(path, True).close()
+        if found is None:                                             # a replayed batch has landed before
+            rows = feeds.explode_twin_map(batch) if name == "cross_site" else feeds.explode_records(batch)
+            version = published.new_version(own)
+            rows.write.parquet(f"{dest}/{version}")
+            if published.publish(spark, dest, version, exclusive=True) != version:
+                raise feeds.MalformedFeedError(f"{dest} is already committed")
         landed.append(batch_id)
 
     q = (docs.writeStream.foreachBatch(write_batch)

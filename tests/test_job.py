@@ -6,7 +6,7 @@ import tempfile
 import pytest
 
 from offerlake.plans import job
-from offerlake.sources import bronze
+from offerlake.sources import bronze, sinks
 
 HERE = os.path.dirname(os.path.abspath(__file__))
 FIX = os.path.join(HERE, "fixtures")
@@ -31,7 +31,7 @@ def test_stats(run):
 
 def test_silver_rows(spark, run):
     root, _ = run
-    rows = {r.offer_id: r for r in spark.read.parquet(f"{root}/silver/offres").collect()}
+    rows = {r.offer_id: r for r in sinks.read_silver(spark, f"{root}/silver", RUN).collect()}
     assert sorted(rows) == ["IND_1", "IND_a1", "IND_c3", "IND_d4", "IND_e5",
                             "WTTJ_0", "WTTJ_1", "WTTJ_2", "WTTJ_3"]
     a0 = rows["WTTJ_0"]
@@ -56,14 +56,14 @@ def test_silver_rows(spark, run):
 
 def test_rejects(spark, run):
     root, _ = run
-    rej = {r.offer_id: r.reason for r in spark.read.parquet(f"{root}/silver/rejets_salaire").collect()}
+    rej = {r.offer_id: r.reason for r in sinks.read_rejects(spark, f"{root}/silver", RUN).collect()}
     assert rej == {"IND_1": "non parsé", "IND_d4": "non parsé",
                    "IND_e5": "hors plage plausible après annualisation"}
 
 
 def test_gold(spark, run):
     root, _ = run
-    g = lambda n: spark.read.parquet(f"{root}/gold/{n}.parquet")
+    g = lambda n: sinks.gold_table(spark, f"{root}/gold", n)
     fct = g("fct_offres")
     assert fct.count() == 7 and len(fct.columns) == 33
     assert {(r.contrat, r.n) for r in g("mart_par_contrat").collect()} == {("CDI", 1), ("Non précisé", 5), ("Stage", 1)}
@@ -86,10 +86,10 @@ def test_quality_gate_blocks_export(spark):
 
 def test_idempotent_and_immutable_bronze(spark, run):
     root, _ = run
-    before = sorted(tuple(r) for r in spark.read.parquet(f"{root}/silver/offres").collect())
+    before = sorted(tuple(r) for r in sinks.read_silver(spark, f"{root}/silver", RUN).collect())
     other = dict(SOURCES, wttj=f"{FIX}/feed_b.json")        # a different file for the same date
     job.run_job(spark, root, RUN, other, exclude_tags=("fullonly",))
-    after = sorted(tuple(r) for r in spark.read.parquet(f"{root}/silver/offres").collect())
+    after = sorted(tuple(r) for r in sinks.read_silver(spark, f"{root}/silver", RUN).collect())
     assert before == after                                    # bronze for that date was not overwritten
     assert bronze.read(spark, f"{root}/bronze", "wttj", RUN).count() == 4
 
@@ -122,7 +122,7 @@ def test_empty_rejects_and_manifest(spark):
     root = tempfile.mkdtemp(prefix="offerlake-test-")
     s = job.run_job(spark, root, RUN, dict(SOURCES, indeed=None), skip_gold=True)
     assert s["n_rejects_salaire"] == 0
-    rej = spark.read.parquet(f"{root}/silver/rejets_salaire")
+    rej = sinks.read_rejects(spark, f"{root}/silver", RUN)
     assert rej.columns == ["offer_id", "salary_raw", "reason", "run_date"] and rej.count() == 0
     m = bronze.read_manifest(spark, f"{root}/bronze")
     assert m["run_date"] == RUN and [x["present"] for x in m["sources"]] == [True, False, True]

@@ -44,5 +44,5 @@ def test_silver_read_prunes_partition(spark, tmp_path):
     empty = spark.createDataFrame([], SILVER)
     for d in ("2026-06-09", "2026-06-10"):
         sinks.write_partition(empty, str(tmp_path / "offres"), d)
-    p = plan(sinks.read_silver(spark, str(tmp_path / "offres"), "2026-06-10"))
+    p = plan(sinks.read_partition(spark, str(tmp_path / "offres"), "2026-06-10"))
     assert "PartitionFilters: [isnotnull(run_date" in p and "2026-06-10" in p
