@@ -71,14 +71,17 @@ def strip_accents(c: Column) -> Column:
     for ch, out in several.items():
         rare = F.replace(rare, F.lit(ch), F.lit(out))
     rare = F.array_join(F.transform(F.split(rare, ""), lambda x: F.when(x.between("\uac00", "\ud7a3"), _jamo(x)).otherwise(x)), "")
-    # Characters that become several are rare: only their rows take the long way.
-    some = c.rlike("[\uac00-\ud7a3" + "".join(several) + "]")
+    # Characters that become several are rare: only their rows take the long way, and only
+    # rows with a character as high as the lowest of them are searched for one.
+    high = c.rlike(f"[{min(several)}-\U0010ffff]")
+    some = F.when(high, c.rlike("[\uac00-\ud7a3" + "".join(several) + "]")).otherwise(False)
     return F.translate(F.when(some, rare).otherwise(c), src, dst)
 
 
 def fold_accents(c: Column) -> Column:
     """Lower-case and strip combining accents (``é`` -> ``e``)."""
-    return strip_accents(F.lower(c))
+    low = F.lower(c)
+    return F.when(F.octet_length(c) == F.length(c), low).otherwise(strip_accents(low))      # ASCII has no accents
 
 
 def slug(c: Column) -> Column:
