@@ -17,17 +17,25 @@ from offerlake.llm.spark import materialize, read
 from offerlake.session import scratch_path
 
 #: A classifier and a shuffled mix are no SQL: tests/llm/test_pipeline.py holds the stages
-#: against small fixtures instead; run() as a whole has no test.
+#: and run() against small fixtures instead.
 ORACLE_SQL = None
 
 
+def _rows(docs: DataFrame, name: str) -> DataFrame:
+    """row (the whole input row, whatever its columns are called), number (its own), doc_id, text
+    and source, written once."""
+    source = F.col("source") if "source" in docs.columns else F.lit(None).cast("string")
+    return materialize(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number"), "doc_id", "text", source.alias("source")), name)
+
+
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the field predicts as toxic go.  A doc_id with several texts goes text by text."""
     field = toxicity.train(docs, read(spark, sf_dir, "labels"))
-    keyed = docs.withColumn("__text", F.xxhash64("text"))
-    judged = toxicity.score(keyed.select(F.struct("doc_id", "__text").alias("doc_id"), "text"), field)
-    toxic = judged.where("predicted = 1").select(F.col("doc_id.doc_id").alias("t_id"), F.col("doc_id.__text").alias("t_text")).distinct()
-    return keyed.join(toxic, keyed["doc_id"].eqNullSafe(F.col("t_id")) & (keyed["__text"] == F.col("t_text")), "left_anti").drop("__text")
+    keyed = docs.select(F.struct("*").alias("row"), F.struct("doc_id", F.xxhash64("text").alias("h")).alias("doc_id"), "text")
+    judged = toxicity.score(keyed.select("doc_id", "text"), field)
+    toxic = judged.where("predicted = 1").select(F.col("doc_id.doc_id").alias("t_id"), F.col("doc_id.h").alias("t_h")).distinct()
+    return (keyed.join(toxic, keyed["doc_id.doc_id"].eqNullSafe(F.col("t_id")) & keyed["doc_id.h"].eqNullSafe(F.col("t_h")), "left_anti")
+                 .select("row.*"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,19 +50,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One row of each group of near-duplicates stays: the first by doc_id (null last), text
     hash and row number.  Rows are told apart by their own number, so rows that repeat a
     doc_id, or have none, are judged one by one."""
-    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-near")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("h"), F.col("__row").alias("row"))
-    judged = minhash_dedup.near_duplicates(keyed.select(order.alias("doc_id"), "text"))
-    gone = judged.where("not kept").select(F.col("doc_id.row").alias("__row"))
-    return keyed.join(gone, "__row", "left_anti").select(*docs.columns)
+    rows = _rows(docs, "pipeline-near")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("h"), F.col("number").alias("row"))
+    judged = minhash_dedup.near_duplicates(rows.select(order.alias("doc_id"), "text"))
+    gone = judged.where("not kept").select(F.col("doc_id.row").alias("number"))
+    return rows.join(gone, "number", "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it (whole passes, the last one rounded)."""
-    keyed = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-mix")
-    taken = mixing.taken(keyed, id_col="__row").select(F.col("doc_id").alias("__taken"), F.expr("cast(round(coalesce(try_divide(taken, size), 0)) as int)").alias("times"))
-    return (keyed.join(taken.where("times > 0"), keyed["__row"] == taken["__taken"])
-                 .withColumn("times", F.explode(F.sequence(F.lit(1), "times"))).select(*docs.columns))
+    """Every document as often as the mix takes it, in whole passes.  The mix takes a source's
+    documents one after another, so at most one of a source is taken in part; that one is
+    rounded, and a source's words differ from its target by half its longest document at most
+    (besides the target's own rounding)."""
+    rows = _rows(docs, "pipeline-mix")
+    taken = mixing.taken(rows.select("number", "text", "source"), id_col="number")
+    taken = taken.select(F.col("doc_id").alias("taken"), F.expr("cast(round(coalesce(try_divide(taken, size), 0)) as int)").alias("passes"))
+    return (rows.join(taken.where("passes > 0"), F.col("number") == F.col("taken"))
+                .withColumn("pass", F.explode(F.sequence(F.lit(1), "passes"))).select("row.*"))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
