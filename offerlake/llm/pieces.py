@@ -16,9 +16,9 @@ later, then to the smaller id.
 
 Scale.  Units that are frequent in a bounded sample of the documents (``HEAD``) are encoded
 once, by the same lattice, and looked up by every task; all other units travel as
-(document, unit) rows, meet the lattice's result in a join on the unit, and go back to
-their document, which itself travels as compressed unit numbers.  The result does not
-depend on what the sample holds.
+(row number, place, unit) rows, meet the lattice's result in a join on the unit, and go
+back to their row, which itself travels as compressed unit numbers.  Texts are split once.
+The result does not depend on what the sample holds.
 
 Defined results.  A null text has null ids and counts of 0; an empty text has no ids.
 U+2581 in a text decodes to a space, as in the model.  Rows that agree in doc_id and text
@@ -102,7 +102,7 @@ def _frequent(texts: DataFrame, sample_docs: int, head: int) -> DataFrame:
     """At most ``head`` units, the most frequent ones of a sample of the documents."""
     n = texts.count()
     share = min(1.0, sample_docs / max(1, n))
-    sample = texts.where(F.pmod("key2", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    sample = texts.where(F.pmod("key", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     counts = materialize(sample.select(F.explode(F.expr(f"regexp_extract_all(norm, '{UNIT}', 0)")).alias("unit"))
                                .groupBy("unit").agg(F.count("*").alias("n")), "pieces-sample")
     # Units of equal count enter together: one row per count decides, not a global sort.
@@ -165,37 +165,22 @@ def _split(codes):
     return run
 
 
-def _tails(codes):
-    split = _split(codes)
-
-    def run(batches):
-        for batch in batches:
-            keys, units, places = [], [], []
-            for i, norm in enumerate(batch.column("norm").to_pylist()):
-                tail = split(norm)[1]
-                keys += [i] * len(tail)
-                units += tail
-                places += range(len(tail))
-            take = pa.array(keys, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("key1").take(take), batch.column("key2").take(take),
-                                              pa.array(places, pa.int32()), pa.array(units, pa.string())], names=["key1", "key2", "place", "unit"])
-    return run
-
-
 def _packed(codes):
+    """Rows with the numbers of their units and the text of those that are not in the head."""
     split = _split(codes)
 
     def run(batches):
         for batch in batches:
-            packed, sums = [], []
+            packed, sums, tails = [], [], []
             for norm in batch.column("norm").to_pylist():
                 if norm is None:
-                    packed.append(None), sums.append(0)
+                    packed.append(None), sums.append(0), tails.append([])
                 else:
-                    packed.append(zlib.compress(split(norm)[0].tobytes(), 1))
+                    numbers, tail = split(norm)
+                    packed.append(zlib.compress(numbers.tobytes(), 1)), tails.append(tail)
                     sums.append(zlib.crc32(norm.replace(SPACE, " ").encode()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key1"), batch.column("key2"), pa.array(packed, pa.binary()),
-                                              pa.array(sums, pa.int64())], names=["doc_id", "key1", "key2", "packed", "crc"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array(sums, pa.int64()), pa.array(tails, pa.list_(pa.string()))],
+                                             names=["doc_id", "packed", "crc", "units"])
     return run
 
 
@@ -213,7 +198,6 @@ def _assemble(codes, raw: list[bytes]):
                     ids.append(None), n_units.append(0), same.append(True)
                     continue
                 which = np.frombuffer(zlib.decompress(packed), np.int32).astype(np.int64)
-                # Equal rows have sent their tail units more than once.
                 tail = {t["place"]: t["ids"] for t in batch.column("tail")[i].as_py() or []}
                 tail = [np.array(tail[k], np.int32) for k in range(len(tail))]
                 # Tail unit -1 - k is stored behind the head's units.
@@ -235,17 +219,20 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     pieces = spark.createDataFrame(rows, "piece string, id int, score double")      # the vocabulary: bounded
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.select("doc_id", F.when(F.col("text") != "", normalised(F.col("text"))).when(F.col("text") == "", "").alias("norm"),
-                         F.xxhash64("doc_id", "text").alias("key1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("key2"))
+                         F.xxhash64("doc_id", "text").alias("key"))
     known = lattice(_frequent(texts, sample_docs, head), pieces, first_byte, longest).toArrow()   # at most ``head`` rows
     codes = spark.sparkContext.broadcast(_codes(known))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    tail = (texts.where("norm is not null").select("norm", "key1", "key2")
-                 .mapInArrow(_tails(codes), "key1 bigint, key2 bigint, place int, unit string"))
-    solved = lattice(tail.select("unit").distinct(), pieces, first_byte, longest)
-    back = (tail.join(solved, "unit").groupBy("key1", "key2")
-                .agg(F.collect_list(F.struct("place", "ids")).alias("tail")).select(F.col("key1").alias("t1"), F.col("key2").alias("t2"), "tail"))
-    whole = texts.mapInArrow(_packed(codes), f"doc_id {kind}, key1 bigint, key2 bigint, packed binary, crc bigint")
-    both = whole.join(back, (F.col("key1") == F.col("t1")) & (F.col("key2") == F.col("t2")), "left").select("doc_id", "packed", "crc", "tail")
+    # Every text is split once.  Rows are told apart by their own number, so equal rows do
+    # not meet in one group.
+    rows = (texts.select("doc_id", "norm").mapInArrow(_packed(codes), f"doc_id {kind}, packed binary, crc bigint, units array<string>")
+                 .withColumn("row", F.monotonically_increasing_id()))
+    rows = materialize(rows, "pieces-rows")
+    tail = rows.select("row", F.posexplode("units").alias("place", "unit"))
+    solved = materialize(lattice(tail.select("unit").distinct(), pieces, first_byte, longest), "pieces-solved")
+    back = (tail.join(solved, "unit").groupBy("row").agg(F.collect_list(F.struct("place", "ids")).alias("tail"))
+                .select(F.col("row").alias("t_row"), "tail"))
+    both = rows.select("row", "doc_id", "packed", "crc").join(back, F.col("row") == F.col("t_row"), "left").select("doc_id", "packed", "crc", "tail")
     return both.mapInArrow(_assemble(codes, raw), f"doc_id {kind}, n_units bigint, n_pieces bigint, ids array<int>, round_trip boolean")
 
 

@@ -1,12 +1,13 @@
 """The pipeline's stages against plain Python, and the SQL of OP1 and OP5 on small fixtures."""
 
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from offerlake.llm import minhash_dedup, toxicity, url_filter
+from offerlake.llm import minhash_dedup, mixing, pieces, toxicity, url_filter
 from offerlake.llm.sql import OP1, OP5
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -91,6 +92,54 @@ def test_mix_stage_takes_whole_passes(spark):
     assert 0 < out.count() <= 3 * 9 and set(pairs(out)) <= set(rows[:-1]) and out.columns == frame(spark, rows).columns
 
 
+def test_stages_keep_columns_with_clashing_names(spark):
+    rows = [(i, words(10 * i, 10 * i + 12)) for i in range(6)] + [(None, None), (3, words(30, 42))]
+    names = ("times", "__row", "__text", "row", "number", "passes", "pass", "taken", "t_id", "h", "gone", "label")
+    docs = frame(spark, rows)
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(k))
+    path = spark.conf.get("spark.checkpoint.dir") + "/clash-stage"
+    spark.createDataFrame([(i, 1, i % 2) for i in range(6)], "doc_id bigint, quality int, toxic int").write.mode("overwrite").parquet(f"{path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, path)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got and all(r[n] == k for r in got for k, n in enumerate(names)), name
+
+
+def test_mix_stage_comes_near_its_targets(spark):
+    rng = random.Random(6)
+    rows = [(i, words(0, rng.choice((3, 40, 200))), f"s{i % 3}") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    want = {r.source: r.target for r in mixing.taken(docs).select("source", "target").distinct().collect()}
+    got = Counter()
+    for r in corpus_pipeline.mix_sources(spark, docs, "").collect():
+        got[r.source] += len(r.text.split())
+    for source, target in want.items():
+        longest = max(len(t.split()) for _, t, s in rows if s == source)
+        assert abs(got[source] - target) <= longest / 2 + 1
+
+
+def test_run(spark):
+    """Every stage takes effect, and what is left is encoded without loss."""
+    path = spark.conf.get("spark.checkpoint.dir") + "/pipeline-run"
+    line = "one line of boilerplate that many documents share"
+    good = [(i, words(40 * i, 40 * i + 30) + "\n" + line, "en", f"s{i % 2}") for i in range(40)]
+    bad = [(100 + i, words(40 * i, 40 * i + 30) + " zonk blarg zonk blarg", "en", "s0") for i in range(40)]
+    copies = [(200 + i, good[i][1] + " x", "en", "s1") for i in range(10)]
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in good + bad + copies] + [(None, None, None, None, None)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.mode("overwrite").parquet(f"{path}/documents.parquet")
+    labels = [(r[0], 1, 0) for r in good] + [(r[0], 1, 1) for r in bad]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.mode("overwrite").parquet(f"{path}/labels.parquet")
+    out = corpus_pipeline.run(spark, path)
+    back = Counter((r.doc_id, r.text) for r in pieces.decode(out).collect())
+    assert all(r.round_trip for r in out.collect())
+    ids = {i for i, _ in back}
+    assert ids <= {r[0] for r in good + copies} and len(ids & {r[0] for r in good}) >= 30           # no toxic document is left
+    assert sum(line in t for _, t in back) <= max(back.values())                                     # the line stays once
+    assert not any(i in ids and i + 200 in ids for i in range(10))                                   # of near copies one
+
+
 def test_sql_of_op1_and_op5(spark):
     duckdb = pytest.importorskip("duckdb")
     texts = [BASE, BASE + " x", BASE.upper(), OTHER, OTHER[:-2], "one", "One", "", None, "a b"]
