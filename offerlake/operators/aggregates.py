@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from offerlake.session import materialize
+
 
 def pct(part: Column, total: Column, digits: int = 1) -> Column:
     """round(100 * part / total, digits) as double; null when total is 0."""
@@ -38,6 +40,25 @@ def count_by(df: DataFrame, keys: Sequence[str] | str, *, rename: dict[str, str]
     return out
 
 
+def grouped_counts(df: DataFrame, sets: dict[str, Sequence[str]], *, n: str = "n") -> dict[str, DataFrame]:
+    """Row counts by several sets of keys in one scan and one shuffle (grouping sets), written
+    once; per name the (keys, n) of its set.  A null key is a group of its own: sets are told
+    apart by the grouping id, not by nulls."""
+    keys = list(dict.fromkeys(k for s in sets.values() for k in s))
+    counts = df.groupingSets([[F.col(k) for k in s] for s in sets.values()], *[F.col(k) for k in keys]).agg(
+        F.grouping_id(*keys).alias("__set"), F.count(F.lit(1)).alias(n))
+    counts = materialize(counts, "grouped-counts")
+    # A bit of the id is set for every key that is not in the set, the first key's highest.
+    ident = {name: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in s) for name, s in sets.items()}
+    return {name: counts.where(F.col("__set") == ident[name]).select(*s, n) for name, s in sets.items()}
+
+
+def ranked(counts: DataFrame, *, n: str = "n", **rename: str) -> DataFrame:
+    """Counted groups, most frequent first, ties by key; ``rename`` gives keys new names."""
+    keys = [c for c in counts.columns if c != n]
+    return counts.orderBy(F.desc(n), *[F.col(k).asc_nulls_first() for k in keys]).withColumnsRenamed(rename)
+
+
 def top_k(df: DataFrame, key: str, k: int, *, n: str = "n", extra: Sequence[Column] = ()) -> DataFrame:
     """The ``k`` most frequent values of ``key``; ties broken by the key value."""
     agg = df.groupBy(key).agg(*extra, F.count(F.lit(1)).alias(n))

@@ -119,26 +119,27 @@ def kpis(fct: DataFrame, stg: DataFrame, *, approx_distinct: bool = False) -> Da
 
 def marts(fct: DataFrame, stg: DataFrame) -> dict[str, DataFrame]:
     with_sal = fct.where(F.col("has_salary"))
+    month = F.when(F.col("date_is_precise"), F.date_format(F.col("posted_date").cast("date"), "yyyy-MM"))
+    # Every count mart from one scan of the fact.
+    counts = agg.grouped_counts(fct.withColumn("mois", month), {
+        "contrat": ["contract"], "departement": ["departement"], "experience": ["exp_bucket"], "metier": ["profession"],
+        "remote": ["remote"], "tension": ["profession", "departement"], "mois": ["mois"]})
     return {
         "mart_completude": agg.completeness(fct, [(n, F.expr(c)) for n, c in COMPLETENESS]),
         "mart_kpis": kpis(fct, stg),
-        "mart_par_contrat": agg.count_by(fct, "contract", rename={"contract": "contrat"}),
-        "mart_par_departement": agg.count_by(fct, "departement"),
-        "mart_par_experience": agg.count_by(fct, "exp_bucket"),
-        "mart_par_metier": agg.count_by(fct, "profession", non_null=["profession"],
-                                        rename={"profession": "metier"}),
-        "mart_par_remote": agg.count_by(fct, "remote", non_null=["remote"]),
+        "mart_par_contrat": agg.ranked(counts["contrat"], contract="contrat"),
+        "mart_par_departement": agg.ranked(counts["departement"]),
+        "mart_par_experience": agg.ranked(counts["experience"]),
+        "mart_par_metier": agg.ranked(counts["metier"].where("profession is not null"), profession="metier"),
+        "mart_par_remote": agg.ranked(counts["remote"].where("remote is not null")),
         "mart_salaire_par_contrat": agg.distribution(with_sal, "contract", "sal_mid_eur", min_n=5,
                                                      out_key="contrat", bounded_domain=True),
         "mart_salaire_par_metier": agg.distribution(with_sal.where(F.col("profession").isNotNull()),
                                                     "profession", "sal_mid_eur", min_n=8, extremes=False,
                                                     out_key="metier", bounded_domain=True),
-        "mart_tension": agg.count_by(fct, ["profession", "departement"], non_null=["profession"],
-                                     exclude={"departement": ["Non précisé", "Hors référentiel"]},
-                                     rename={"profession": "metier"}, order=False),
-        "mart_timeseries": (fct.where(F.col("date_is_precise") & F.col("posted_date").isNotNull())
-                            .groupBy(F.date_format(F.col("posted_date").cast("date"), "yyyy-MM").alias("mois"))
-                            .agg(F.count(F.lit(1)).alias("n")).orderBy("mois")),
+        "mart_tension": (counts["tension"].where("profession is not null")
+                         .where(~F.col("departement").isin("Non précisé", "Hors référentiel")).withColumnRenamed("profession", "metier")),
+        "mart_timeseries": counts["mois"].where("mois is not null").orderBy("mois"),
         "mart_top_competences": agg.top_k(
             fct.select(F.explode("skills").alias("competence")).where(F.col("competence").isNotNull()),
             "competence", 30),

@@ -11,6 +11,7 @@ that holds nothing else is an error.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,11 +29,14 @@ def committed(spark: SparkSession, path: str) -> bool:
     return published.current(spark, path) is not None
 
 
-def land(spark: SparkSession, root: str, name: str, src: str | None, run_date: str) -> dict:
-    """Land one source for ``run_date``; absent source -> ``present: False``."""
+def land(spark: SparkSession, root: str, name: str, src: str | None | Sequence[str | None], run_date: str) -> dict:
+    """Land one source for ``run_date``: the first of its candidates that is there; absent
+    source -> ``present: False``."""
     dest = partition_path(root, name, run_date)
-    if not feeds.exists(spark, src):
+    found = feeds.resolve(spark, src)
+    if found is None:
         return {"source": name, "path": dest, "origin": str(src), "present": False}
+    src = found
     if not committed(spark, dest):
         rows = feeds.read_twin_map(spark, src) if name == "cross_site" else feeds.read_feed(spark, src)
         version = published.new_version()
@@ -41,7 +45,7 @@ def land(spark: SparkSession, root: str, name: str, src: str | None, run_date: s
     return {"source": name, "path": dest, "origin": str(src), "present": True}
 
 
-def ingest(spark: SparkSession, root: str, run_date: str, sources: dict[str, str | None]) -> dict:
+def ingest(spark: SparkSession, root: str, run_date: str, sources: dict[str, str | None | Sequence[str | None]]) -> dict:
     """Land every source and write the manifest (overwritten each run)."""
     manifest = {"run_date": run_date,
                 "sources": [land(spark, root, n, sources.get(n), run_date) for n in FEEDS]}

@@ -9,6 +9,8 @@ keeps each record's original JSON text; typed parsing happens later, from those
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -48,6 +50,14 @@ def exists(spark: SparkSession, path: str | None) -> bool:
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p))
 
 
+def resolve(spark: SparkSession, candidates: str | None | Sequence[str | None]) -> str | None:
+    """The first of the candidates (one path, or several in order) that is there, in any store
+    that Spark reads; None if none is."""
+    if candidates is None or isinstance(candidates, str):
+        candidates = [candidates]
+    return next((c for c in candidates if exists(spark, c)), None)
+
+
 def read_documents(spark: SparkSession, path: str | None) -> DataFrame | None:
     """One row per file (``file``, ``value``); None when the path does not exist."""
     if not path:

@@ -107,6 +107,14 @@ def test_two_landings_of_one_date(spark, root, monkeypatch):
     assert got in (['{"url":"u0"}'] * 3, ['{"url":"u1"}'] * 4)
 
 
+def test_first_present_candidate_is_landed(spark, root):
+    assert feeds.resolve(spark, None) is None and feeds.resolve(spark, [None, "", f"{root}/no.json"]) is None
+    assert feeds.resolve(spark, [None, f"{root}/no.json", SOURCES["indeed"], SOURCES["wttj"]]) == SOURCES["indeed"]
+    got = bronze.land(spark, f"{root}/b", "wttj", [f"{root}/no.json", SOURCES["wttj"], SOURCES["indeed"]], RUN)
+    assert got["present"] and got["origin"] == SOURCES["wttj"] and bronze.read(spark, f"{root}/b", "wttj", RUN).count() == 4
+    assert not bronze.land(spark, f"{root}/b", "indeed", [f"{root}/no.json", None], RUN)["present"]
+
+
 def test_crashed_landing_is_not_seen(spark, root):
     spark.range(3).selectExpr("id as pos", "'k' as key", "'{}' as raw").write.parquet(f"{root}/wttj/dt={RUN}/v-crashed")
     with pytest.raises(feeds.MalformedFeedError):
