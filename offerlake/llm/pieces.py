@@ -46,6 +46,7 @@ SPACE = "▁"
 UNIT = f"{SPACE}+[^{SPACE}\\n]*|[^{SPACE}\\n]+|\\n"
 SAMPLE_DOCS = 20_000          # documents of the sample that names the frequent units
 HEAD = 150_000                # units looked up by every task, at most
+RUN = 256                     # steps of a fold that are stored together
 
 
 def vocabulary(model: str = MODEL) -> tuple[list[tuple[str, int, float]], list[bytes], int, int]:
@@ -83,18 +84,31 @@ def lattice(units: DataFrame, pieces: DataFrame, first_byte: int, longest: int)
     words = edges.groupBy("unit").agg(F.max("n").alias("n"), F.sort_array(F.collect_list("edge")).alias("edges"))
     # Best score, beginning and piece of the last step at every position; position 0 first.
     # The piece is kept negated, so that of equal paths the smaller id is the greatest.
-    # Edges are sorted by their end, so the next ``longest`` ones hold all that end at p.
-    best = f"""aggregate(sequence(1, n), named_struct('next', 1, 'done', array(named_struct('score', 0d, 'lo', 0, 'minus', 0))),
-        (s, p) -> element_at(transform(array(filter(slice(edges, s.next, {longest}), e -> e.hi = p)), ends -> named_struct('next', s.next + size(ends),
-            'done', concat(s.done, array(array_max(transform(ends,
-                e -> named_struct('score', s.done[e.lo].score + e.score, 'lo', e.lo, 'minus', -e.id))))))), 1), s -> s.done)"""
+    # Edges are sorted by their end, and every position has one, so the fold takes them one
+    # by one: ``top`` is the best step to the end ``hi``, ``near`` holds those before it from
+    # position ``from`` on.  Steps that no piece reaches back to move to ``far`` in runs, so a
+    # step costs the same in units of any length.
+    step = "named_struct('score', if(e.lo = s.hi, s.top.score, s.near[e.lo - s.from].score) + e.score, 'lo', e.lo, 'minus', -e.id)"
+    grown = "concat(s.near, array(s.top))"
+    best = f"""aggregate(edges, named_struct('far', cast(array() as array<array<struct<score:double,lo:int,minus:int>>>), 'from', 0,
+                'near', cast(array() as array<struct<score:double,lo:int,minus:int>>), 'hi', 0, 'top', named_struct('score', 0d, 'lo', 0, 'minus', 0)),
+        (s, e) -> if(e.hi = s.hi, named_struct('far', s.far, 'from', s.from, 'near', s.near, 'hi', s.hi, 'top', greatest(s.top, {step})),
+            if(size(s.near) < {RUN + longest},
+               named_struct('far', s.far, 'from', s.from, 'near', {grown}, 'hi', e.hi, 'top', {step}),
+               named_struct('far', concat(s.far, array(slice(s.near, 1, {RUN}))), 'from', s.from + {RUN},
+                            'near', slice({grown}, {RUN + 1}, {longest + 1}), 'hi', e.hi, 'top', {step}))),
+        s -> concat(flatten(s.far), s.near, array(s.top)))"""
     words = words.select("unit", "n", F.expr(best).alias("best"))
-    path = f"""aggregate(sequence(n, 1, -1), named_struct('at', n, 'ids', cast(array() as array<int>)),
-        (s, p) -> if(p <> s.at, s, named_struct('at', best[p].lo, 'ids', concat(
-            if(best[p].minus = 1,
+    # Back from the end: pieces in front of ``ids``, in runs as well.
+    piece = f"""if(best[p].minus = 1,
                transform(sequence(1, octet_length(substring(unit, p, 1))),
                          k -> {first_byte} + cast(conv(substring(hex(encode(substring(unit, p, 1), 'UTF-8')), 2 * k - 1, 2), 16, 10) as int)),
-               array(-best[p].minus)), s.ids))), s -> s.ids)"""
+               array(-best[p].minus))"""
+    path = f"""aggregate(sequence(n, 1, -1), named_struct('at', n, 'ids', cast(array() as array<int>), 'runs', cast(array() as array<array<int>>)),
+        (s, p) -> if(p <> s.at, s, if(size(s.ids) < {RUN},
+            named_struct('at', best[p].lo, 'ids', concat({piece}, s.ids), 'runs', s.runs),
+            named_struct('at', best[p].lo, 'ids', {piece}, 'runs', concat(array(s.ids), s.runs)))),
+        s -> concat(s.ids, flatten(s.runs)))"""
     return words.select("unit", F.expr(path).alias("ids"))
 
 
