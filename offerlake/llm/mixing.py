@@ -18,8 +18,8 @@ and per-bucket sums meet in a join, and only scalars reach the driver.
 
 Defined results.  A null or empty text, or one without words, has size 0 and is never
 taken.  A null source is a source of its own, last in the order; the empty string is an
-ordinary source.  Rows that repeat a doc_id are separate rows with the same shuffle key
-(ties are ordered by size).  Extra columns are ignored.  An empty table gives an empty
+ordinary source.  Rows that repeat a doc_id, or have none, are separate rows with shuffle
+keys of their own; so are rows that are alike in everything.  Extra columns are ignored.  An empty table gives an empty
 mix.
 """
 
@@ -35,6 +35,7 @@ REPEATS = 3
 BLOCK_WORDS = 1024            # words of a block, at most
 SLOTS = 1 << 17               # slots of a mix at least, by smaller blocks if need be
 ROWS_PER_BUCKET = 50_000
+COPIES = 10_000               # copies of one row that one task lists
 PHI32 = 2654435769            # 2**32 / golden ratio
 
 
@@ -107,6 +108,21 @@ def schedule(sources: DataFrame, slots: int, block: int) -> DataFrame:
     return slot.join(need, "place").where("rank < need").select("slot", "place", "rank").union(more)
 
 
+def _spread(rows: DataFrame, seed: int) -> DataFrame:
+    """(doc_id, source, text) -> one row per row: doc_id, source, size, text_key, copy and shuffle.
+
+    Rows alike in doc_id, source and text are told apart by ``copy``, 0, 1, ...: counted before
+    the shuffle and listed again in runs of COPIES, so neither they nor rows that share a doc_id
+    meet in one task or under one shuffle key, and the result does not depend on partitions."""
+    key = ["doc_id", "source", "size", "text_key"]
+    alike = (rows.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("text_key"))
+                 .groupBy(*key).agg(F.count("*").alias("k")))
+    runs = alike.select(*key, "k", F.explode(F.expr(f"sequence(0, (k - 1) div {COPIES})")).alias("run")).repartition("text_key", "doc_id", "run")
+    last = F.least(F.col("k"), (F.col("run") + 1) * COPIES) - 1
+    listed = runs.select(*key, F.explode(F.sequence(F.col("run") * COPIES, last)).alias("copy"))
+    return listed.withColumn("shuffle", F.xxhash64(F.lit(seed), "doc_id", "text_key", "copy"))
+
+
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
         repeats: int = REPEATS, seed: int = 1, block_words: int = BLOCK_WORDS, slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
     """(documents, pieces).
@@ -114,8 +130,8 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     documents: one row per row of ``docs``: row (its number), doc_id, source, size, source_size, target.
     pieces: the mix in order: slot, block, row, epoch, from and to (words of the document).
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
-    rows = materialize(rows.withColumn("shuffle", F.xxhash64(F.lit(seed), "doc_id")), "mix-rows")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    rows = materialize(_spread(rows, seed), "mix-rows")
     sources = materialize(targets(rows, weights, repeats), "mix-targets")
     total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     block = max(1, min(block_words, total // slots))
@@ -124,7 +140,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     by_place = sources.select(F.col("source").alias("__source"), "place", "source_size", "target", "words")
     rows = rows.join(by_place, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     # Rows of a source in shuffled order; "row" numbers them over all sources.
-    rows = _number(rows, ["place"], "part", ["shuffle", "doc_id", "size"], F.col("size"), "mix-places")
+    rows = _number(rows, ["place"], "part", ["shuffle", "doc_id", "size", "text_key", "copy"], F.col("size"), "mix-places")
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "mix-placed")
 
     plan = schedule(sources, total // block if total else 0, block)
