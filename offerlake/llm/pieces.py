@@ -5,7 +5,7 @@ put in front.  It falls into units (``UNIT``: a whole run of U+2581 with the wor
 it) that no piece of the vocabulary crosses, so
 the best path of a text is the best paths of its units.  Every distinct unit's substrings
 of bounded length are exploded and equi-joined with the piece table; its edges are grouped
-by unit; a Spark higher-order aggregate folds the Viterbi recurrence over the positions
+by unit (128 bits of its hash); a Spark higher-order aggregate folds the Viterbi recurrence over the positions
 and a second one walks back.  A character without a piece becomes its byte pieces.
 
 Piece scores are log-probabilities of a Zipf law over the vocabulary's ranks, -ln(id): the
@@ -46,7 +46,8 @@ SPACE = "▁"
 UNIT = f"{SPACE}+[^{SPACE}\\n]*|[^{SPACE}\\n]+|\\n"
 SAMPLE_DOCS = 20_000          # documents of the sample that names the frequent units
 HEAD = 150_000                # units looked up by every task, at most
-RUN = 256                     # steps of a fold that are stored together
+RUN = 256                     # elements of an inner fold
+SLICE = 64                    # characters of a unit in one row, at most (and a piece more)
 
 
 def vocabulary(model: str = MODEL) -> tuple[list[tuple[str, int, float]], list[bytes], int, int]:
@@ -71,45 +72,60 @@ def normalised(text: Column) -> Column:
     return F.concat(F.lit(SPACE), F.translate(text, " ", SPACE))
 
 
+def keyed(units: DataFrame) -> DataFrame:
+    """Adds k1 and k2, 128 bits of hash that stand for a unit."""
+    return units.withColumn("k1", F.xxhash64("unit")).withColumn("k2", F.xxhash64(F.lit(1), "unit"))
+
+
 def lattice(units: DataFrame, pieces: DataFrame, first_byte: int, longest: int) -> DataFrame:
-    """Distinct ``unit`` rows -> unit, ids (the best path's pieces)."""
-    at = units.select("unit", F.length("unit").alias("n"))
-    at = at.select("unit", "n", F.explode(F.sequence(F.lit(1), "n")).alias("lo"))
-    at = at.select("unit", "n", "lo", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("n") - F.col("lo") + 1))).alias("size"))
-    at = at.withColumn("piece", F.substring("unit", F.col("lo"), F.col("size")))
+    """(unit, k1, k2) rows -> k1, k2, ids (the best path's pieces), one row per unit.
+
+    Units are dealt by their key once; their edges stay where they are.  A unit is cut into
+    overlapping slices first, so that an edge's row carries a slice and not the whole unit."""
+    at = units.select("k1", "k2", "unit").repartition("k1", "k2").distinct()
+    at = at.select("k1", "k2", "unit", F.length("unit").alias("n"))
+    at = at.select("k1", "k2", "unit", "n", F.explode(F.expr(f"sequence(0, n - 1, {SLICE})")).alias("base"))
+    at = at.select("k1", "k2", "n", "base", F.expr(f"substring(unit, base + 1, {SLICE + longest - 1})").alias("part"))
+    at = at.select("k1", "k2", "n", "base", "part", F.explode(F.expr(f"sequence(1, least({SLICE}, n - base))")).alias("lo"))
+    at = at.select("k1", "k2", "n", "base", "part", "lo", F.explode(F.expr(f"sequence(1, least({longest}, n - base - lo + 1))")).alias("size"))
+    at = at.select("k1", "k2", "n", (F.col("base") + F.col("lo") - 1).alias("lo"), "size", F.expr("substring(part, lo, size)").alias("piece"))
     worst = -math.log(1e9)                       # a character without a piece
     edges = at.join(F.broadcast(pieces), "piece", "left").where("id is not null or size = 1")
-    edges = edges.select("unit", "n", F.struct((F.col("lo") + F.col("size") - 1).alias("hi"), (F.col("lo") - 1).alias("lo"),
-                                               F.coalesce("score", F.lit(worst)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id")).alias("edge"))
-    words = edges.groupBy("unit").agg(F.max("n").alias("n"), F.sort_array(F.collect_list("edge")).alias("edges"))
+    # A character without a piece stands as -1 - its code point.
+    edges = edges.select("k1", "k2", "n", F.struct((F.col("lo") + F.col("size")).alias("hi"), "lo", F.coalesce("score", F.lit(worst)).alias("score"),
+                                                   F.coalesce("id", -1 - F.ascii("piece")).alias("id")).alias("edge"))
+    words = edges.groupBy("k1", "k2").agg(F.max("n").alias("n"), F.sort_array(F.collect_list("edge")).alias("edges"))
     # Best score, beginning and piece of the last step at every position; position 0 first.
     # The piece is kept negated, so that of equal paths the smaller id is the greatest.
     # Edges are sorted by their end, and every position has one, so the fold takes them one
     # by one: ``top`` is the best step to the end ``hi``, ``near`` holds those before it from
-    # position ``from`` on.  Steps that no piece reaches back to move to ``far`` in runs, so a
-    # step costs the same in units of any length.
+    # position ``from`` on.  aggregate() copies its state at every element, so RUN edges make
+    # an inner fold with a small state, and the outer one moves steps that no piece reaches
+    # back to into ``far``.
+    steps = "array<struct<score:double,lo:int,minus:int>>"
     step = "named_struct('score', if(e.lo = s.hi, s.top.score, s.near[e.lo - s.from].score) + e.score, 'lo', e.lo, 'minus', -e.id)"
-    grown = "concat(s.near, array(s.top))"
-    best = f"""aggregate(edges, named_struct('far', cast(array() as array<array<struct<score:double,lo:int,minus:int>>>), 'from', 0,
-                'near', cast(array() as array<struct<score:double,lo:int,minus:int>>), 'hi', 0, 'top', named_struct('score', 0d, 'lo', 0, 'minus', 0)),
-        (s, e) -> if(e.hi = s.hi, named_struct('far', s.far, 'from', s.from, 'near', s.near, 'hi', s.hi, 'top', greatest(s.top, {step})),
-            if(size(s.near) < {RUN + longest},
-               named_struct('far', s.far, 'from', s.from, 'near', {grown}, 'hi', e.hi, 'top', {step}),
-               named_struct('far', concat(s.far, array(slice(s.near, 1, {RUN}))), 'from', s.from + {RUN},
-                            'near', slice({grown}, {RUN + 1}, {longest + 1}), 'hi', e.hi, 'top', {step}))),
-        s -> concat(flatten(s.far), s.near, array(s.top)))"""
-    words = words.select("unit", "n", F.expr(best).alias("best"))
+    inner = f"""aggregate(slice(edges, r * {RUN} + 1, {RUN}), named_struct('from', o.from, 'near', o.near, 'hi', o.hi, 'top', o.top),
+        (s, e) -> if(e.hi = s.hi, named_struct('from', s.from, 'near', s.near, 'hi', s.hi, 'top', greatest(s.top, {step})),
+                     named_struct('from', s.from, 'near', concat(s.near, array(s.top)), 'hi', e.hi, 'top', {step})))"""
+    old = f"greatest(0, size(i.near) - {longest})"
+    best = f"""aggregate(sequence(0, (size(edges) - 1) div {RUN}), named_struct('far', cast(array() as array<{steps}>), 'from', 0,
+                'near', cast(array() as {steps}), 'hi', 0, 'top', named_struct('score', 0d, 'lo', 0, 'minus', 0)),
+        (o, r) -> element_at(transform(array({inner}), i -> named_struct('far', concat(o.far, array(slice(i.near, 1, {old}))), 'from', i.from + {old},
+                'near', slice(i.near, {old} + 1, {longest}), 'hi', i.hi, 'top', i.top)), 1),
+        o -> concat(flatten(o.far), o.near, array(o.top)))"""
+    words = words.select("k1", "k2", "n", F.expr(best).alias("best"))
     # Back from the end: pieces in front of ``ids``, in runs as well.
-    piece = f"""if(best[p].minus = 1,
-               transform(sequence(1, octet_length(substring(unit, p, 1))),
-                         k -> {first_byte} + cast(conv(substring(hex(encode(substring(unit, p, 1), 'UTF-8')), 2 * k - 1, 2), 16, 10) as int)),
-               array(-best[p].minus))"""
-    path = f"""aggregate(sequence(n, 1, -1), named_struct('at', n, 'ids', cast(array() as array<int>), 'runs', cast(array() as array<array<int>>)),
-        (s, p) -> if(p <> s.at, s, if(size(s.ids) < {RUN},
-            named_struct('at', best[p].lo, 'ids', concat({piece}, s.ids), 'runs', s.runs),
-            named_struct('at', best[p].lo, 'ids', {piece}, 'runs', concat(array(s.ids), s.runs)))),
-        s -> concat(s.ids, flatten(s.runs)))"""
-    return words.select("unit", F.expr(path).alias("ids"))
+    def byte_pieces(code: str) -> str:                # byte pieces of the code point's UTF-8
+        low = [f"{first_byte + 128} + ({code} div {64 ** k}) % 64" for k in range(3)]
+        return (f"case when {code} < 128 then array({first_byte} + {code}) when {code} < 2048 then array({first_byte + 192} + {code} div 64, {low[0]}) "
+                f"when {code} < 65536 then array({first_byte + 224} + {code} div 4096, {low[1]}, {low[0]}) "
+                f"else array({first_byte + 240} + {code} div 262144, {low[2]}, {low[1]}, {low[0]}) end")
+    piece = f"cast(if(best[p].minus > 0, {byte_pieces('(best[p].minus - 1)')}, array(-best[p].minus)) as array<int>)"
+    inner = f"""aggregate(sequence(n - r * {RUN}, greatest(1, n - r * {RUN} - {RUN - 1}), -1), named_struct('at', o.at, 'ids', cast(array() as array<int>)),
+        (s, p) -> if(p <> s.at, s, named_struct('at', best[p].lo, 'ids', concat({piece}, s.ids))))"""
+    path = f"""aggregate(sequence(0, (n - 1) div {RUN}), named_struct('at', n, 'runs', cast(array() as array<array<int>>)),
+        (o, r) -> element_at(transform(array({inner}), i -> named_struct('at', i.at, 'runs', concat(array(i.ids), o.runs))), 1), o -> flatten(o.runs))"""
+    return words.select("k1", "k2", F.expr(path).alias("ids"))
 
 
 def _frequent(texts: DataFrame, sample_docs: int, head: int) -> DataFrame:
@@ -234,7 +250,9 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.select("doc_id", F.when(F.col("text") != "", normalised(F.col("text"))).when(F.col("text") == "", "").alias("norm"),
                          F.xxhash64("doc_id", "text").alias("key"))
-    known = lattice(_frequent(texts, sample_docs, head), pieces, first_byte, longest).toArrow()   # at most ``head`` rows
+    frequent = keyed(_frequent(texts, sample_docs, head))
+    known = (frequent.join(lattice(frequent, pieces, first_byte, longest), ["k1", "k2"])
+                     .select("unit", "ids").toArrow())                              # at most ``head`` rows
     codes = spark.sparkContext.broadcast(_codes(known))
     kind = texts.schema["doc_id"].dataType.simpleString()
     # Every text is split once.  Rows are told apart by their own number, so equal rows do
@@ -242,9 +260,9 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     rows = (texts.select("doc_id", "norm").mapInArrow(_packed(codes), f"doc_id {kind}, packed binary, crc bigint, units array<string>")
                  .withColumn("row", F.monotonically_increasing_id()))
     rows = materialize(rows, "pieces-rows")
-    tail = rows.select("row", F.posexplode("units").alias("place", "unit"))
-    solved = materialize(lattice(tail.select("unit").distinct(), pieces, first_byte, longest), "pieces-solved")
-    back = (tail.join(solved, "unit").groupBy("row").agg(F.collect_list(F.struct("place", "ids")).alias("tail"))
+    tail = keyed(rows.select("row", F.posexplode("units").alias("place", "unit")))
+    solved = materialize(lattice(tail, pieces, first_byte, longest), "pieces-solved")
+    back = (tail.select("row", "place", "k1", "k2").join(solved, ["k1", "k2"]).groupBy("row").agg(F.collect_list(F.struct("place", "ids")).alias("tail"))
                 .select(F.col("row").alias("t_row"), "tail"))
     both = rows.select("row", "doc_id", "packed", "crc").join(back, F.col("row") == F.col("t_row"), "left").select("doc_id", "packed", "crc", "tail")
     return both.mapInArrow(_assemble(codes, raw), f"doc_id {kind}, n_units bigint, n_pieces bigint, ids array<int>, round_trip boolean")
