@@ -408,6 +408,18 @@ def test_pieces(spark):
     assert pieces.encode(docs.limit(0)).count() == 0
 
 
+def test_pieces_of_a_long_unit(spark):
+    """Slices and runs of the folds have no seams: one unit of 6,000 characters, some without a piece."""
+    rng = random.Random(5)
+    unit = "".join(rng.choice(["a", "b", "th", "ing", "tion", "漢", "\U0001f9ff", "é", "\x01", "߷"]) for _ in range(2500)) + "=" * 3000
+    rows, _, first_byte, longest = pieces.vocabulary()
+    table = {p: (i, s) for p, i, s in rows}
+    known = spark.createDataFrame(rows, "piece string, id int, score double")
+    got = pieces.lattice(pieces.keyed(spark.createDataFrame([(unit,), ("a",), (unit,)], "unit string")), known, first_byte, longest).collect()
+    assert sorted(len(r.ids) for r in got)[0] == 1 and len(got) == 2
+    assert max((r.ids for r in got), key=len) == plain_path(unit, table, first_byte, longest)
+
+
 def test_pieces_of_space_runs(spark):
     """Brute force over the model's own vocabulary and the whole text, without units."""
     import sentencepiece
@@ -458,6 +470,15 @@ def test_mixing(spark):
     assert sum(r.taken for r in mixing.taken(frame(spark, EDGE)).collect()) > 0
 
 
+def test_mix_spreads_repeated_rows(spark, monkeypatch):
+    """Half of the rows have no doc_id, or are alike in everything: every row has a shuffle key of its own."""
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    rows = [(None, f"text {i}", "s") for i in range(60)] + [(7, "same words", "s")] * 60 + [(i, "w", None) for i in range(20)]
+    got = mixing._spread(frame(spark, rows).select("doc_id", "source", "text"), 1).collect()
+    assert len(got) == len({r.shuffle for r in got}) == 140
+    assert sorted(r.copy for r in got if r.doc_id == 7 and r.source == "s" and r.size == 2) == list(range(60))
+
+
 def test_mix_takes_tiny_sources(spark):
     """Sources far below one block come as near their targets as the large ones."""
     rng = random.Random(2)
