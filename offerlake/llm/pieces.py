@@ -46,6 +46,7 @@ SPACE = "▁"
 UNIT = f"{SPACE}+[^{SPACE}\\n]*|[^{SPACE}\\n]+|\\n"
 SAMPLE_DOCS = 20_000          # documents of the sample that names the frequent units
 HEAD = 150_000                # units looked up by every task, at most
+UNITS = 40_000                # rows of units that one task solves
 RUN = 256                     # elements of an inner fold
 SLICE = 64                    # characters of a unit in one row, at most (and a piece more)
 
@@ -77,12 +78,13 @@ def keyed(units: DataFrame) -> DataFrame:
     return units.withColumn("k1", F.xxhash64("unit")).withColumn("k2", F.xxhash64(F.lit(1), "unit"))
 
 
-def lattice(units: DataFrame, pieces: DataFrame, first_byte: int, longest: int) -> DataFrame:
+def lattice(units: DataFrame, pieces: DataFrame, first_byte: int, longest: int, rows: int = 0) -> DataFrame:
     """(unit, k1, k2) rows -> k1, k2, ids (the best path's pieces), one row per unit.
 
-    Units are dealt by their key once; their edges stay where they are.  A unit is cut into
+    Units are dealt by their key once, in parts of about UNITS of the stated ``rows``, so that
+    the edges of a part are grouped in memory; their edges stay where they are.  A unit is cut into
     overlapping slices first, so that an edge's row carries a slice and not the whole unit."""
-    at = units.select("k1", "k2", "unit").repartition("k1", "k2").distinct()
+    at = units.select("k1", "k2", "unit").repartition(1 + rows // UNITS, "k1", "k2").distinct()
     at = at.select("k1", "k2", "unit", F.length("unit").alias("n"))
     at = at.select("k1", "k2", "unit", "n", F.explode(F.expr(f"sequence(0, n - 1, {SLICE})")).alias("base"))
     at = at.select("k1", "k2", "n", "base", F.expr(f"substring(unit, base + 1, {SLICE + longest - 1})").alias("part"))
@@ -251,7 +253,7 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     texts = texts.select("doc_id", F.when(F.col("text") != "", normalised(F.col("text"))).when(F.col("text") == "", "").alias("norm"),
                          F.xxhash64("doc_id", "text").alias("key"))
     frequent = keyed(_frequent(texts, sample_docs, head))
-    known = (frequent.join(lattice(frequent, pieces, first_byte, longest), ["k1", "k2"])
+    known = (frequent.join(lattice(frequent, pieces, first_byte, longest, frequent.count()), ["k1", "k2"])
                      .select("unit", "ids").toArrow())                              # at most ``head`` rows
     codes = spark.sparkContext.broadcast(_codes(known))
     kind = texts.schema["doc_id"].dataType.simpleString()
@@ -261,7 +263,8 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
                  .withColumn("row", F.monotonically_increasing_id()))
     rows = materialize(rows, "pieces-rows")
     tail = keyed(rows.select("row", F.posexplode("units").alias("place", "unit")))
-    solved = materialize(lattice(tail, pieces, first_byte, longest), "pieces-solved")
+    n_tail = rows.agg(F.sum(F.size("units"))).first()[0] or 0
+    solved = materialize(lattice(tail, pieces, first_byte, longest, n_tail), "pieces-solved")
     back = (tail.select("row", "place", "k1", "k2").join(solved, ["k1", "k2"]).groupBy("row").agg(F.collect_list(F.struct("place", "ids")).alias("tail"))
                 .select(F.col("row").alias("t_row"), "tail"))
     both = rows.select("row", "doc_id", "packed", "crc").join(back, F.col("row") == F.col("t_row"), "left").select("doc_id", "packed", "crc", "tail")
