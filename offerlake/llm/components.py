@@ -10,7 +10,8 @@ lost executor costs one round at most.
 hash buckets.  A bucket never emits all its pairs: each round compares its members
 with one hub only, and buckets whose members have reached one component are finished.
 What then still differs is compared in full, so that no link between different
-components is lost: by ``sweep`` if given, else as pairs.
+components is lost: by ``sweep`` if given, else as pairs; ``finish``, if given, takes the
+buckets of more than SMALL_BUCKET members, of which no pairs are written then.
 
 Members may say how many elements their set has (``size``) and how many of these any
 other member has at all (``reach``).  A link at p percent needs a common part of at least
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from offerlake.llm.spark import materialize, small as hinted
 
 PAIRS_PER_MEMBER = 8          # hub rounds go on until so few open pairs are left for each member
+SMALL_BUCKET = 64             # with ``finish``, members of a bucket whose open pairs are written
 
 
 def components(links: DataFrame, name: str = "components") -> DataFrame:
@@ -65,12 +67,15 @@ def _stars(edges: DataFrame) -> bool:
 
 
 def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int, name: str = "links",
-                 sweep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                 sweep: Callable[[DataFrame], DataFrame] | None = None,
+                 finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(bucket, node, size, reach) members -> (node, label) of the components of verified links.
 
     ``verify`` takes distinct pairs (a, b), a < b, and returns those that are links.
     ``sweep`` takes (region, node, label) and returns links (a, b) between any two nodes
     of one region with different labels; buckets that share members are one region.
+    ``finish`` takes (bucket, node, label) of large buckets that are still open after two
+    rounds and returns links between any two members of a bucket with different labels.
     """
     work = materialize(members.select("bucket", "node", "size", "reach"), name)
     links = seen = None
@@ -99,11 +104,16 @@ def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], p
             break
         # Few pairs are left, or hubs no longer bring members together.
         # With a sweep, one round of hubs comes first and the sweep does the rest.
-        last = sweep is None and turn > 0 and (open_pairs <= PAIRS_PER_MEMBER * open_members or turn > 1 and open_pairs > 0.9 * before)
+        last = sweep is None and turn > 0 and (open_pairs <= PAIRS_PER_MEMBER * open_members
+                                                        or turn > 1 and (finish is not None or open_pairs > 0.9 * before))
         before = open_pairs
-        now = now.join(hinted(state.select("bucket", "hub", "hub_label"), state), "bucket")
+        now = now.join(hinted(state.select("bucket", "hub", "hub_label", "n"), state), "bucket")
         if last or sweep is None:
             now = materialize(now, name)
+        swept = None
+        if last and finish is not None:
+            swept = materialize(finish(now.where(f"n > {SMALL_BUCKET}").select("bucket", "node", "label")), name)
+            now = now.where(f"n <= {SMALL_BUCKET}")
         if last:
             other = now.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "size", "reach", "label")])
             pairs = (now.join(other, "bucket").where("node < b_node and label <> b_label")
@@ -121,6 +131,7 @@ def link_members(members: DataFrame, verify: Callable[[DataFrame], DataFrame], p
         pairs = materialize(pairs, name)
         found = materialize(verify(pairs), name)
         links = found if links is None else links.union(found)
+        links = links if swept is None else links.union(swept)
         seen = pairs if seen is None else seen.union(pairs)
         if last:
             break

@@ -179,7 +179,7 @@ def _confirm(size: int, percent: int):
     return run
 
 
-def _common(lv, lat, rv, rat) -> np.ndarray:
+def shared_sizes(lv, lat, rv, rat) -> np.ndarray:
     """Sizes of the common parts of all left and right sets, by blocks of shared shingles."""
     out = np.zeros((len(lat) - 1, len(rat) - 1), np.float32)
     shared = np.intersect1d(lv, rv)
@@ -224,7 +224,7 @@ def _compare(size: int, percent: int, miss: float):
                 if not alive.any():
                     break
             if alive.any():
-                common = _common(lv, lat, rv, rat)
+                common = shared_sizes(lv, lat, rv, rat)
                 link = alive & (100 * common >= percent * (total - common))
                 for i in np.flatnonzero(link.any(1)):
                     _, first = np.unique(rlab[link[i]], return_index=True)

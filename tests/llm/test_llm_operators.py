@@ -182,8 +182,7 @@ def test_line_dedup_recall_at_the_threshold(spark):
         least = min(least, len(x & y) / len(x | y))
         rows += [(2 * k, a), (2 * k + 1, b)]
     assert 0.8 <= least < 0.81
-    lines = spark.createDataFrame(rows, "id long, line string").select(F.xxhash64("line").alias("l1"), F.col("id").alias("l2"), "line")
-    low = {r.l2: [r[f"m{p}"] for p in range(line_dedup.MINIMA)] for r in line_dedup._minima(lines).collect()}
+    low = line_dedup.minima(*line_dedup.shingles([line for _, line in rows]))
     missed = few = 0
     for k in range(1500):
         same = [x == y for x, y in zip(low[2 * k], low[2 * k + 1])]
@@ -200,9 +199,40 @@ def test_line_dedup_edges(spark):
     assert line_dedup.dedup_lines(frame(spark, EDGE).limit(0)).count() == 0
 
 
-def test_line_dedup_is_native(spark):
-    plan = line_dedup.dedup_lines(frame(spark, EDGE))._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Arrow|Pandas", plan)
+def test_line_shingles_are_sets_of_units():
+    """Equal shingles and no others have equal hashes, short lines and surrogate pairs included."""
+    rng = random.Random(5)
+    every = ["".join(rng.choice("ab\U0001F600\0\u00e9") for _ in range(rng.choice([1, 2, 7, 8, 9, 40]))) for _ in range(300)]
+    values, at = line_dedup.shingles(every)
+    got = [set(values[at[i]:at[i + 1]].tolist()) for i in range(len(every))]
+    want = [line_shingles(x) for x in every]
+    assert [len(x) for x in got] == [len(x) for x in want]
+    assert len(set().union(*got)) == len(set().union(*want))
+    assert all(len(got[i] & got[j]) == len(want[i] & want[j]) for i in range(300) for j in range(i))
+
+
+def test_line_dedup_of_large_buckets(spark, monkeypatch):
+    """A large group of copies edited too much for each other, in pairs that are links: blocks find all."""
+    monkeypatch.setattr(components, "SMALL_BUCKET", 4)
+    monkeypatch.setattr(components, "PAIRS_PER_MEMBER", 0)
+    monkeypatch.setattr(line_dedup, "LEFT", 8)
+    monkeypatch.setattr(line_dedup, "RIGHT", 16)
+    rng = random.Random(9)
+    base = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400))
+    def edited(x, k):
+        x = list(x)
+        for at in rng.sample(range(len(x)), k):
+            x[at] = rng.choice("0123456789")
+        return "".join(x)
+    every = []
+    for _ in range(40):
+        one = edited(base, 9)
+        every += [one, edited(one, 2)]
+    sets = [line_shingles(x) for x in every]
+    links = [(i, j) for i in range(len(every)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    part = components_of(len(every), links)
+    got = {r.row.doc_id: r.text for r in line_dedup.dedup_lines(frame(spark, [(i, x, "s") for i, x in enumerate(every)])).collect()}
+    assert got == {i: x if part[i] == i else "" for i, x in enumerate(every)} and 20 < len(set(part)) < 60
 
 
 def brute_quality(text):
