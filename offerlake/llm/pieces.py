@@ -15,10 +15,11 @@ the best path, not the order of merges.  Ties go to the path whose last piece be
 later, then to the smaller id.
 
 Scale.  Units that are frequent in a bounded sample of the documents (``HEAD``) are encoded
-once, by the same lattice, and looked up by every task; all other units travel as
-(row number, place, unit) rows, meet the lattice's result in a join on the unit, and go
-back to their row, which itself travels as compressed unit numbers.  Texts are split once.
-The result does not depend on what the sample holds.
+once, by the same lattice, and looked up by every task.  Units are cut into parts wherever no
+piece holds the two characters at the cut, which no path crosses either; the parts of all other
+units are looked up where they are frequent, and else travel as (row number, place, part) rows, meet the
+lattice's result in a join on the part, and go back to their row, which itself travels as
+compressed numbers.  Texts are split once.  The result does not depend on what the sample holds.
 
 Defined results.  A null text has null ids and counts of 0; an empty text has no ids.
 U+2581 in a text decodes to a space, as in the model.  Rows that agree in doc_id and text
@@ -69,6 +70,18 @@ def vocabulary(model: str = MODEL) -> tuple[list[tuple[str, int, float]], list[b
     return pieces, raw, first, max(len(p) for p, *_ in pieces)
 
 
+def neighbours(pieces: list[tuple[str, int, float]]) -> set[str]:
+    """The pairs of characters that follow one another in some piece."""
+    return {p[i:i + 2] for p, *_ in pieces for i in range(len(p) - 1)}
+
+
+def parts(unit: str, pairs: set[str]) -> list[str]:
+    """The unit cut where no piece can span: the best path is the best paths of the parts.
+    Every unit is solved by its parts, so that scores are summed in one way only."""
+    cuts = [0, *(i for i in range(1, len(unit)) if unit[i - 1:i + 1] not in pairs), len(unit)]
+    return [unit[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
+
+
 def normalised(text: Column) -> Column:
     return F.concat(F.lit(SPACE), F.translate(text, " ", SPACE))
 
@@ -130,13 +143,35 @@ def lattice(units: DataFrame, pieces: DataFrame, first_byte: int, longest: int,
     return words.select("k1", "k2", F.expr(path).alias("ids"))
 
 
-def _frequent(texts: DataFrame, sample_docs: int, head: int) -> DataFrame:
-    """At most ``head`` units, the most frequent ones of a sample of the documents."""
+def _part_counts(pairs: set[str]):
+    def run(batches):
+        for batch in batches:
+            unit, n = [], []
+            for u, k in zip(batch.column("unit").to_pylist(), batch.column("n").to_pylist()):
+                cut = parts(u, pairs)
+                if len(cut) > 1:
+                    unit += cut
+                    n += [k] * len(cut)
+            yield pa.RecordBatch.from_arrays([pa.array(unit, pa.string()), pa.array(n, pa.int64())], names=["unit", "n"])
+    return run
+
+
+def _cut(pairs: set[str]):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([x for u in batch.column("unit").to_pylist() for x in parts(u, pairs)], pa.string())], names=["unit"])
+    return run
+
+
+def _frequent(texts: DataFrame, sample_docs: int, head: int, pairs: set[str]) -> DataFrame:
+    """At most ``head`` units and parts, the most frequent ones of a sample of the documents."""
     n = texts.count()
     share = min(1.0, sample_docs / max(1, n))
     sample = texts.where(F.pmod("key", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     counts = materialize(sample.select(F.explode(F.expr(f"regexp_extract_all(norm, '{UNIT}', 0)")).alias("unit"))
                                .groupBy("unit").agg(F.count("*").alias("n")), "pieces-sample")
+    counts = materialize(counts.union(counts.mapInArrow(_part_counts(pairs), "unit string, n bigint"))
+                               .groupBy("unit").agg(F.sum("n").alias("n")), "pieces-counts")
     # Units of equal count enter together: one row per count decides, not a global sort.
     per, total, least = counts.groupBy("n").agg(F.count("*").alias("units")).orderBy(F.desc("n")), 0, None
     for row in per.limit(head).toLocalIterator():
@@ -147,12 +182,17 @@ def _frequent(texts: DataFrame, sample_docs: int, head: int) -> DataFrame:
     return counts.where(F.col("n") >= (least if least is not None else 1 << 62)).select("unit")
 
 
-def _codes(known: pa.Table) -> tuple[dict, np.ndarray, np.ndarray]:
-    """Units as numbers, and the ids of each: offsets into one flat array."""
-    ids = known.column("ids").combine_chunks()
-    at = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(ids).to_numpy(zero_copy_only=False))]).astype(np.int64)
-    flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-    return {u.as_py(): i for i, u in enumerate(known.column("unit"))}, at, flat
+def _codes(units: list[str], known: pa.Table, pairs: set[str]) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Units as numbers, and the ids of each, those of its parts: offsets into one flat array."""
+    solved = known.column("ids").combine_chunks()
+    at = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(solved).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    ids = solved.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+    place = {u: i for i, u in enumerate(known.column("unit").to_pylist())}
+    which = [[place[x] for x in parts(u, pairs)] for u in units]
+    flat = np.array([k for w in which for k in w], np.int64)
+    size = np.concatenate([[0], np.cumsum(at[flat + 1] - at[flat])]).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum([len(w) for w in which])]).astype(np.int64)
+    return {u: i for i, u in enumerate(units)}, size[ends], _gather(ids, at, flat)
 
 
 def _gather(values: np.ndarray, at: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -182,37 +222,45 @@ def _two(at: np.ndarray, ids: np.ndarray, tail: list[np.ndarray], which: np.ndar
     return out
 
 
-def _split(codes):
+def _split(codes, pairs: set[str]):
     pattern = re.compile(UNIT)
 
-    def run(norm: str | None) -> tuple[np.ndarray, list[str]]:
-        """Numbers of a text's units; those not in the head are -1, -2, ... by first use."""
+    def run(norm: str) -> tuple[np.ndarray, list[str], int]:
+        """Numbers of a text's units, or of their parts, and how many units it has; what is
+        not in the head is -1, -2, ... by first use."""
         number = codes.value[0]
         tail: dict[str, int] = {}
-        out = []
-        for u in pattern.findall(norm or ""):
+        rare: dict[str, list[int]] = {}
+        out, units = [], pattern.findall(norm)
+        for u in units:
             k = number.get(u)
-            out.append(k if k is not None else tail.setdefault(u, -1 - len(tail)))
-        return np.array(out, np.int32), list(tail)
+            if k is not None:
+                out.append(k)
+                continue
+            if u not in rare:
+                rare[u] = [number[x] if x in number else tail.setdefault(x, -1 - len(tail)) for x in parts(u, pairs)]
+            out += rare[u]
+        return np.array(out, np.int32), list(tail), len(units)
     return run
 
 
-def _packed(codes):
+def _packed(codes, pairs: set[str]):
     """Rows with the numbers of their units and the text of those that are not in the head."""
-    split = _split(codes)
+    split = _split(codes, pairs)
 
     def run(batches):
         for batch in batches:
-            packed, sums, tails = [], [], []
+            packed, sums, tails, units = [], [], [], []
             for norm in batch.column("norm").to_pylist():
                 if norm is None:
-                    packed.append(None), sums.append(0), tails.append([])
+                    packed.append(None), sums.append(0), tails.append([]), units.append(0)
                 else:
-                    numbers, tail = split(norm)
-                    packed.append(zlib.compress(numbers.tobytes(), 1)), tails.append(tail)
+                    numbers, tail, n = split(norm)
+                    units.append(n), packed.append(zlib.compress(numbers.tobytes(), 1)), tails.append(tail)
                     sums.append(zlib.crc32(norm.replace(SPACE, " ").encode()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array(sums, pa.int64()), pa.array(tails, pa.list_(pa.string()))],
-                                             names=["doc_id", "packed", "crc", "units"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array(sums, pa.int64()),
+                                              pa.array(units, pa.int64()), pa.array(tails, pa.list_(pa.string()))],
+                                             names=["doc_id", "packed", "crc", "n_units", "units"])
     return run
 
 
@@ -222,22 +270,22 @@ def _assemble(codes, raw: list[bytes]):
         byte = np.frombuffer(b"".join(raw), np.uint8)
         _, head_at, head_ids = codes.value
         for batch in batches:
-            ids, n_units, same = [], [], []
+            ids, same = [], []
             crc = batch.column("crc").to_pylist()
             for i in range(batch.num_rows):
                 packed = batch.column("packed")[i].as_py()
                 if packed is None:
-                    ids.append(None), n_units.append(0), same.append(True)
+                    ids.append(None), same.append(True)
                     continue
                 which = np.frombuffer(zlib.decompress(packed), np.int32).astype(np.int64)
                 tail = {t["place"]: t["ids"] for t in batch.column("tail")[i].as_py() or []}
                 tail = [np.array(tail[k], np.int32) for k in range(len(tail))]
                 # Tail unit -1 - k is stored behind the head's units.
                 one = _two(head_at, head_ids, tail, which)
-                ids.append(one), n_units.append(len(which))
+                ids.append(one)
                 same.append(zlib.crc32(_gather(byte, byte_at, one.astype(np.int64)).tobytes()) == crc[i] if len(one) else True)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n_units, pa.int64()), pa.array([0 if x is None else len(x) for x in ids], pa.int64()),
+                [batch.column("doc_id"), batch.column("n_units"), pa.array([0 if x is None else len(x) for x in ids], pa.int64()),
                  pa.array(ids, pa.list_(pa.int32())), pa.array(same)], names=["doc_id", "n_units", "n_pieces", "ids", "round_trip"])
     return run
 
@@ -252,14 +300,16 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.select("doc_id", F.when(F.col("text") != "", normalised(F.col("text"))).when(F.col("text") == "", "").alias("norm"),
                          F.xxhash64("doc_id", "text").alias("key"))
-    frequent = keyed(_frequent(texts, sample_docs, head))
-    known = (frequent.join(lattice(frequent, pieces, first_byte, longest, frequent.count()), ["k1", "k2"])
-                     .select("unit", "ids").toArrow())                              # at most ``head`` rows
-    codes = spark.sparkContext.broadcast(_codes(known))
+    pairs = neighbours(rows)
+    frequent = materialize(_frequent(texts, sample_docs, head, pairs), "pieces-frequent")
+    cut = keyed(materialize(frequent.mapInArrow(_cut(pairs), "unit string").distinct(), "pieces-cut"))
+    known = cut.join(lattice(cut, pieces, first_byte, longest, cut.count()), ["k1", "k2"]).select("unit", "ids")
+    units = frequent.toArrow().column("unit").to_pylist()                           # at most ``head`` rows
+    codes = spark.sparkContext.broadcast(_codes(units, known.toArrow(), pairs))     # and their parts
     kind = texts.schema["doc_id"].dataType.simpleString()
     # Every text is split once.  Rows are told apart by their own number, so equal rows do
     # not meet in one group.
-    rows = (texts.select("doc_id", "norm").mapInArrow(_packed(codes), f"doc_id {kind}, packed binary, crc bigint, units array<string>")
+    rows = (texts.select("doc_id", "norm").mapInArrow(_packed(codes, pairs), f"doc_id {kind}, packed binary, crc bigint, n_units bigint, units array<string>")
                  .withColumn("row", F.monotonically_increasing_id()))
     rows = materialize(rows, "pieces-rows")
     tail = keyed(rows.select("row", F.posexplode("units").alias("place", "unit")))
@@ -267,7 +317,7 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     solved = materialize(lattice(tail, pieces, first_byte, longest, n_tail), "pieces-solved")
     back = (tail.select("row", "place", "k1", "k2").join(solved, ["k1", "k2"]).groupBy("row").agg(F.collect_list(F.struct("place", "ids")).alias("tail"))
                 .select(F.col("row").alias("t_row"), "tail"))
-    both = rows.select("row", "doc_id", "packed", "crc").join(back, F.col("row") == F.col("t_row"), "left").select("doc_id", "packed", "crc", "tail")
+    both = rows.select("row", "doc_id", "packed", "crc", "n_units").join(back, F.col("row") == F.col("t_row"), "left").select("doc_id", "packed", "crc", "n_units", "tail")
     return both.mapInArrow(_assemble(codes, raw), f"doc_id {kind}, n_units bigint, n_pieces bigint, ids array<int>, round_trip boolean")
 
 

@@ -438,6 +438,21 @@ def test_pieces(spark):
     assert pieces.encode(docs.limit(0)).count() == 0
 
 
+def test_pieces_of_parts():
+    """No piece crosses a cut, and the parts' best paths make the unit's."""
+    rng = random.Random(15)
+    rows, _, first_byte, longest = pieces.vocabulary()
+    table, pairs = {p: (i, s) for p, i, s in rows}, pieces.neighbours(rows)
+    several = 0
+    for _ in range(400):
+        unit = pieces.SPACE * rng.choice([0, 1, 3]) + "".join(rng.choice(["the", "ing", "a", "q", "x", "\u00e7", ",", "#", ")", "\u6f22", "1", "="]) for _ in range(rng.randint(1, 9)))
+        cut = pieces.parts(unit, pairs)
+        several += len(cut) > 1
+        assert "".join(cut) == unit and all(cut)
+        assert [i for x in cut for i in plain_path(x, table, first_byte, longest)] == plain_path(unit, table, first_byte, longest)
+    assert several > 200
+
+
 def test_pieces_of_a_long_unit(spark):
     """Slices and runs of the folds have no seams: one unit of 6,000 characters, some without a piece."""
     rng = random.Random(5)
