@@ -133,3 +133,25 @@ def url_segment(url: Column, marker: str = "/companies/") -> Column:
 
 def _quote(s: str) -> str:
     return "".join("\\" + ch if not ch.isalnum() else ch for ch in s)
+
+
+def redact_json(raw: Column) -> Column:
+    """``redact_contacts`` on every string value of a JSON text, however nested; keys, numbers
+    and all other text stay as they are.
+
+    Control characters cannot stand in a JSON text's strings, so two of them stand for the escapes of a
+    backslash and of a quote while strings are told from the rest.  A string is decoded,
+    redacted and, only where that changes it, encoded anew.
+    """
+    marked = F.replace(F.replace(raw, F.lit("\\\\"), F.lit("\x02")), F.lit('\\"'), F.lit("\x01"))
+    tokens = F.regexp_extract_all(marked, F.lit(r'"[^"]*+"(?:[ \t\r\n]*+:)?|[^"]++'), F.lit(0))
+
+    def token(t: Column) -> Column:
+        plain = F.replace(F.replace(t, F.lit("\x01"), F.lit('\\"')), F.lit("\x02"), F.lit("\\\\"))
+        value = F.from_json(F.concat(F.lit("["), plain, F.lit("]")), "array<string>")[0]
+        clean = redact_contacts(value)
+        again = F.to_json(F.array(clean))
+        return (F.when(~t.startswith('"') | t.endswith(":") | (clean == value), plain)
+                 .otherwise(F.substring(again, F.lit(2), F.length(again) - 2)))
+
+    return F.array_join(F.transform(tokens, token), "")

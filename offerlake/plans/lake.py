@@ -16,7 +16,7 @@ from offerlake.plans import derived_feeds, gold, silver
 from offerlake.plans.catalog import RUN_DATE
 from offerlake.plans.job import Layout, build_silver
 from offerlake.session import scratch_path
-from offerlake.sources import bronze, feeds, sinks
+from offerlake.sources import bronze, feeds, sampling, sinks
 
 _built: dict[tuple, dict] = {}
 
@@ -62,7 +62,17 @@ def landed_twins(spark: SparkSession, sf: str) -> DataFrame:
     return feeds.twin_urls(lake(spark, sf)["landed_cross_site"])
 
 
+def feed_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """Both feeds' samples, written as documents of the feed's own shape and read back."""
+    t, base, parts = lake(spark, sf), scratch_path(spark, f"samples-{uuid.uuid4().hex[:12]}"), []
+    for name, shape in (("wttj", "array"), ("indeed", "object")):
+        sampling.write_sample(t[f"landed_{name}"], sampling.RECORDS[name], f"{base}/{name}", shape)
+        parts.append(feeds.read_feed(spark, f"{base}/{name}").select(F.lit(name).alias("feed"), "pos", "key", F.get_json_object("raw", "$.url").alias("url")))
+    return parts[0].unionByName(parts[1])
+
+
 QUERIES = {
+    "product_feed_samples": feed_samples,
     "product_landed_records": landed_keys,
     "product_twin_urls": landed_twins,
     "product_silver_offers": _table("silver"),

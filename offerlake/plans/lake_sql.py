@@ -12,6 +12,7 @@ from offerlake.plans import catalog as C
 from offerlake.plans import derived_feeds as D
 from offerlake.plans import sqltext as S
 from offerlake.plans.oracle import _annual, _parsed_salary_cte
+from offerlake.sources.sampling import RECORDS
 
 q = S.q
 _cities = ", ".join(f"({i}, {'NULL' if c is None else q(c)})" for i, c in enumerate(C.NATION_CITIES))
@@ -138,6 +139,9 @@ def oracle_sql() -> dict[str, str]:
     body = {
         "landed_records": """SELECT 'wttj' AS feed, pos, CAST(NULL AS VARCHAR) AS key, url FROM a1 UNION ALL
             SELECT 'indeed', row_number() OVER (ORDER BY CAST(doc_id // 2000 AS VARCHAR) || '/', doc_id) - 1, 'd' || doc_id, 'https://fr.indeed.com/doc/' || doc_id FROM documents""",
+        "feed_samples": f"""SELECT * FROM (SELECT 'wttj' AS feed, pos, CAST(NULL AS VARCHAR) AS key, url FROM a1) WHERE pos < {RECORDS['wttj']} UNION ALL
+            SELECT * FROM (SELECT 'indeed', row_number() OVER (ORDER BY CAST(doc_id // 2000 AS VARCHAR) || '/', doc_id) - 1 AS pos, 'd' || doc_id, 'https://fr.indeed.com/doc/' || doc_id FROM documents)
+            WHERE pos < {RECORDS['indeed']}""",
         "twin_urls": "SELECT DISTINCT 'https://fr.indeed.com/doc/' || doc_id AS url FROM labels WHERE toxic = 1",
         "silver_offers": "SELECT * FROM silver",
         "silver_rejects": "SELECT * FROM rejects",
