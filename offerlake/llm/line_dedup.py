@@ -234,8 +234,9 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     texts = materialize(texts.join(small(asked.select("node", "minima"), asked), "node"), "lines-texts")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        for c in "ab":
-            pairs = pairs.join(small(asked.select(F.col("node").alias(c), F.col("minima").alias(f"m_{c}")), asked), c)
+        for c in "ab":                           # sizes and minima first, the lines of what is left
+            pairs = pairs.join(small(texts.select(F.col("node").alias(c), F.col("size").alias(f"n_{c}"), F.col("minima").alias(f"m_{c}")), texts), c)
+        pairs = pairs.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
         pairs = materialize(pairs.mapInArrow(_prune, "a bigint, b bigint"), "lines-pairs")
         for c in "ab":
             pairs = pairs.join(small(texts.select(F.col("node").alias(c), F.col("line").alias(f"line_{c}")), texts), c)
