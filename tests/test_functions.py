@@ -159,3 +159,25 @@ def test_salary_special_spaces(spark):
     # narrow no-break space and thin space inside amounts are plain spaces in free text
     assert _parse(spark, "De 45\u202f000 € à 50\u202f000 € par an") == (45000.0, 50000.0, "yearly")
     assert _parse(spark, "32\u2009000 € /an") == (32000.0, 32000.0, "yearly")
+
+
+def reads(column, name):
+    """How often an expression computes ``name``."""
+    return column._jc.toString().count(name)
+
+
+def test_values_in_bindings_are_computed_once(spark):
+    """Bodies of bindings are interpreted without shared subexpressions: an amount that is read in
+    several places would be parsed as often."""
+    probe = F.reverse(F.col("v"))
+    assert reads(salary.to_number(probe), "reverse") == 1
+    number = salary.to_number(probe)
+    assert reads(salary.annualize(number, F.lit(None).cast("double"), F.lit("yearly"), F.lit("EUR")), "reverse") == 1
+
+
+def test_a_record_is_parsed_once_for_all_field_types(spark):
+    from offerlake.plans import silver
+
+    rows = spark.createDataFrame([(0, None, '{"url": "u"}')], "pos bigint, key string, raw string")
+    plan = silver.typed_records(rows, silver.TEXT_A, ("status",))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("parse_json(") == 1
