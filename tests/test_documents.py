@@ -118,3 +118,41 @@ def test_one_document_is_read_by_many_tasks(spark):
         assert got.count() == 20_000 and got.selectExpr("min(pos)", "max(pos)", "count(distinct raw)").first() == (0, 19_999, 1)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_windows_over_ranges_keep_their_tasks(spark, monkeypatch):
+    """The table of fragments is small in bytes but long: it is dealt by range, never broadcast."""
+    plans, real = {}, documents.materialize
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(documents, "materialize", seen)
+    documents.chunks(spark, write(json.dumps([{"a": i, "p": {"q": "}"}} for i in range(50)]))).collect()
+    assert "RepartitionByExpression" in plans["json-steps"]
+    assert "rightHint=(strategy=broadcast)" in plans["json-steps"]
+    assert "rightHint=(strategy=broadcast)" in plans["json-ends"]
+
+
+def test_change_of_depth_by_string_state(spark):
+    """Both string states from one removal of strings, against a walk over the characters."""
+    texts = ['', '{"a":[1,"x', '\\"]" : [{', 'a]"{"[[', '"', '\\\\"{', ' \t[', '"a\\"[" ]]', '\u00e9[{"\u4e2d']
+    frags = spark.createDataFrame([("f", 0, i, 0, t) for i, t in enumerate(texts)], "file string, block bigint, seq bigint, size bigint, text string")
+    got = {r.seq: (r.turn, r.d0, r.d1, r.head) for r in documents._transitions(frags).collect()}
+    for i, t in enumerate(texts):
+        depth = []
+        for state in (0, 1):
+            inside, d, skip = bool(state), 0, False
+            for c in t:
+                if skip:
+                    skip = False
+                elif c == "\\":
+                    skip = True
+                elif c == '"':
+                    inside = not inside
+                elif not inside:
+                    d += (c in "[{") - (c == "]")
+            depth.append(d)
+        turn = inside is False                        # the walk that began inside ends outside
+        assert got[i] == (int(turn), *depth, t.lstrip(" \t\r\n")[:1]), t
