@@ -132,12 +132,14 @@ def fit(rows: list[tuple[str | None, int]], share: float | None = None) -> Field
     keys = np.array(sorted(best), np.uint64)
     sure = np.array([odds[f] >= 3 for f in sorted(best)] + [False])
     heads = np.zeros(65536, bool)
+    del seen, strong, odds                       # the driver keeps little of what it has counted
 
     # Training sequences: every segment with a feature, and one of 20 of the plain ones.
     index, label, size, weight = [], [], [], []
     sparse = []
     for d, (feats, head, y) in enumerate(docs):
-        at = _sparse(keys, feats)
+        docs[d] = None
+        at = _sparse(keys, feats).astype(np.int32)
         active = (at < len(keys)).any(1)
         heads[head[active]] = True
         sparse.append((at, active, y))
@@ -145,7 +147,7 @@ def fit(rows: list[tuple[str | None, int]], share: float | None = None) -> Field
             part = slice(i, min(i + SEGMENT, len(at)))
             if active[part].any() or (d + i // SEGMENT) % 20 == 0:
                 k = part.stop - part.start
-                pad = np.full((SEGMENT, at.shape[1]), len(keys))
+                pad = np.full((SEGMENT, at.shape[1]), len(keys), np.int32)
                 pad[:k] = at[part]
                 y_t = np.zeros(SEGMENT)
                 y_t[:k] = y * sure[at[part]].any(1)

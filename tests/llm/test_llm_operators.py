@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -575,3 +576,15 @@ def test_ann(spark):
     few = spark.createDataFrame(rows[:3] + rows[:1], "vec_id bigint, embedding array<float>, v string")
     assert sorted((r.query_id, r.rank) for r in ann.nearest(few, F.col("vec_id") == 0).collect()) == [(0, 1), (0, 1), (0, 2), (0, 2), (0, 3), (0, 3)]
     assert ann.nearest(data.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_toxicity_training_keeps_little_memory(monkeypatch):
+    monkeypatch.setattr(toxicity, "STEPS", 2)
+    rng = random.Random(4)
+    rows = [(" ".join(f"w{rng.randrange(3000)}" for _ in range(300)) + (" vile" if y else ""), y) for y in (0, 1) for _ in range(200)]
+    toxicity.fit(rows[:20] + rows[-20:], None)
+    tracemalloc.start()
+    toxicity.fit(rows, None)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak / (400 * 300) < 100          # bytes per word; 149 with every text's features kept
