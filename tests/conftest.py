@@ -16,6 +16,15 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(autouse=True)
+def _cut_small_documents(request, monkeypatch):
+    """The tests of cutting have small documents, which ``read_feed`` would read in one piece."""
+    if request.module.__name__.endswith("test_documents"):
+        from offerlake.sources import documents
+
+        monkeypatch.setattr(documents, "WHOLE", 0)
+
+
 def run_expr(spark, values, fn, schema="v string"):
     """Apply a column expression to single-column rows and collect in order."""
     from pyspark.sql import functions as F
