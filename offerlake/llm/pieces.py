@@ -5,7 +5,7 @@ put in front.  It falls into units (``UNIT``: a whole run of U+2581 with the wor
 it) that no piece of the vocabulary crosses, so
 the best path of a text is the best paths of its units.  Every distinct unit's substrings
 of bounded length are exploded and equi-joined with the piece table; its edges are grouped
-by unit (128 bits of its hash); a Spark higher-order aggregate folds the Viterbi recurrence over the positions
+by unit (a long one by 128 bits of its hash); a Spark higher-order aggregate folds the Viterbi recurrence over the positions
 and a second one walks back.  A character without a piece becomes its byte pieces.
 
 Piece scores are log-probabilities of a Zipf law over the vocabulary's ranks, -ln(id): the
@@ -49,6 +49,7 @@ SAMPLE_DOCS = 20_000          # documents of the sample that names the frequent
 HEAD = 150_000                # units looked up by every task, at most
 UNITS = 40_000                # rows of units that one task solves
 RUN = 256                     # elements of an inner fold
+KEY = 32                      # characters of a hashed unit's key; a unit of fewer bytes is its own key
 SLICE = 64                    # characters of a unit in one row, at most (and a piece more)
 
 
@@ -87,29 +88,34 @@ def normalised(text: Column) -> Column:
 
 
 def keyed(units: DataFrame) -> DataFrame:
-    """Adds k1 and k2, 128 bits of hash that stand for a unit."""
-    return units.withColumn("k1", F.xxhash64("unit")).withColumn("k2", F.xxhash64(F.lit(1), "unit"))
+    """Adds ``key``, which stands for a unit in shuffles: the unit itself, or 128 bits of its hash
+    as 32 digits where it has that many bytes.  Most units are shorter than a hash, and unlike it
+    they compress."""
+    digits = F.concat(*[F.lpad(F.hex(h), KEY // 2, "0") for h in (F.xxhash64("unit"), F.xxhash64(F.lit(1), "unit"))])
+    return units.withColumn("key", F.when(F.octet_length("unit") < KEY, F.col("unit")).otherwise(digits))
 
 
 def lattice(units: DataFrame, pieces: DataFrame, first_byte: int, longest: int, rows: int = 0) -> DataFrame:
-    """(unit, k1, k2) rows -> k1, k2, ids (the best path's pieces), one row per unit.
+    """(unit, key) rows -> key, ids (the best path's pieces), one row per unit.
 
     Units are dealt by their key once, in parts of about UNITS of the stated ``rows``, so that
     the edges of a part are grouped in memory; their edges stay where they are.  A unit is cut into
     overlapping slices first, so that an edge's row carries a slice and not the whole unit."""
-    at = units.select("k1", "k2", "unit").repartition(1 + rows // UNITS, "k1", "k2").distinct()
-    at = at.select("k1", "k2", "unit", F.length("unit").alias("n"))
-    at = at.select("k1", "k2", "unit", "n", F.explode(F.expr(f"sequence(0, n - 1, {SLICE})")).alias("base"))
-    at = at.select("k1", "k2", "n", "base", F.expr(f"substring(unit, base + 1, {SLICE + longest - 1})").alias("part"))
-    at = at.select("k1", "k2", "n", "base", "part", F.explode(F.expr(f"sequence(1, least({SLICE}, n - base))")).alias("lo"))
-    at = at.select("k1", "k2", "n", "base", "part", "lo", F.explode(F.expr(f"sequence(1, least({longest}, n - base - lo + 1))")).alias("size"))
-    at = at.select("k1", "k2", "n", (F.col("base") + F.col("lo") - 1).alias("lo"), "size", F.expr("substring(part, lo, size)").alias("piece"))
+    long = F.when(F.octet_length("unit") >= KEY, F.col("unit")).alias("long")     # a short one is its key
+    at = units.select("key", long).repartition(1 + rows // UNITS, "key").distinct()
+    at = at.select("key", F.coalesce("long", "key").alias("unit"))
+    at = at.select("key", "unit", F.length("unit").alias("n"))
+    at = at.select("key", "unit", "n", F.explode(F.expr(f"sequence(0, n - 1, {SLICE})")).alias("base"))
+    at = at.select("key", "n", "base", F.expr(f"substring(unit, base + 1, {SLICE + longest - 1})").alias("part"))
+    at = at.select("key", "n", "base", "part", F.explode(F.expr(f"sequence(1, least({SLICE}, n - base))")).alias("lo"))
+    at = at.select("key", "n", "base", "part", "lo", F.explode(F.expr(f"sequence(1, least({longest}, n - base - lo + 1))")).alias("size"))
+    at = at.select("key", "n", (F.col("base") + F.col("lo") - 1).alias("lo"), "size", F.expr("substring(part, lo, size)").alias("piece"))
     worst = -math.log(1e9)                       # a character without a piece
     edges = at.join(F.broadcast(pieces), "piece", "left").where("id is not null or size = 1")
     # A character without a piece stands as -1 - its code point.
-    edges = edges.select("k1", "k2", "n", F.struct((F.col("lo") + F.col("size")).alias("hi"), "lo", F.coalesce("score", F.lit(worst)).alias("score"),
+    edges = edges.select("key", "n", F.struct((F.col("lo") + F.col("size")).alias("hi"), "lo", F.coalesce("score", F.lit(worst)).alias("score"),
                                                    F.coalesce("id", -1 - F.ascii("piece")).alias("id")).alias("edge"))
-    words = edges.groupBy("k1", "k2").agg(F.max("n").alias("n"), F.sort_array(F.collect_list("edge")).alias("edges"))
+    words = edges.groupBy("key").agg(F.max("n").alias("n"), F.sort_array(F.collect_list("edge")).alias("edges"))
     # Best score, beginning and piece of the last step at every position; position 0 first.
     # The piece is kept negated, so that of equal paths the smaller id is the greatest.
     # Edges are sorted by their end, and every position has one, so the fold takes them one
@@ -128,7 +134,7 @@ def lattice(units: DataFrame, pieces: DataFrame, first_byte: int, longest: int,
         (o, r) -> element_at(transform(array({inner}), i -> named_struct('far', concat(o.far, array(slice(i.near, 1, {old}))), 'from', i.from + {old},
                 'near', slice(i.near, {old} + 1, {longest}), 'hi', i.hi, 'top', i.top)), 1),
         o -> concat(flatten(o.far), o.near, array(o.top)))"""
-    words = words.select("k1", "k2", "n", F.expr(best).alias("best"))
+    words = words.select("key", "n", F.expr(best).alias("best"))
     # Back from the end: pieces in front of ``ids``, in runs as well.
     def byte_pieces(code: str) -> str:                # byte pieces of the code point's UTF-8
         low = [f"{first_byte + 128} + ({code} div {64 ** k}) % 64" for k in range(3)]
@@ -140,7 +146,7 @@ def lattice(units: DataFrame, pieces: DataFrame, first_byte: int, longest: int,
         (s, p) -> if(p <> s.at, s, named_struct('at', best[p].lo, 'ids', concat({piece}, s.ids))))"""
     path = f"""aggregate(sequence(0, (n - 1) div {RUN}), named_struct('at', n, 'runs', cast(array() as array<array<int>>)),
         (o, r) -> element_at(transform(array({inner}), i -> named_struct('at', i.at, 'runs', concat(array(i.ids), o.runs))), 1), o -> flatten(o.runs))"""
-    return words.select("k1", "k2", F.expr(path).alias("ids"))
+    return words.select("key", F.expr(path).alias("ids"))
 
 
 def _part_counts(pairs: set[str]):
@@ -303,7 +309,7 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     pairs = neighbours(rows)
     frequent = materialize(_frequent(texts, sample_docs, head, pairs), "pieces-frequent")
     cut = keyed(materialize(frequent.mapInArrow(_cut(pairs), "unit string").distinct(), "pieces-cut"))
-    known = cut.join(lattice(cut, pieces, first_byte, longest, cut.count()), ["k1", "k2"]).select("unit", "ids")
+    known = cut.join(lattice(cut, pieces, first_byte, longest, cut.count()), "key").select("unit", "ids")
     units = frequent.toArrow().column("unit").to_pylist()                           # at most ``head`` rows
     codes = spark.sparkContext.broadcast(_codes(units, known.toArrow(), pairs))     # and their parts
     kind = texts.schema["doc_id"].dataType.simpleString()
@@ -315,7 +321,7 @@ def encode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", m
     tail = keyed(rows.select("row", F.posexplode("units").alias("place", "unit")))
     n_tail = rows.agg(F.sum(F.size("units"))).first()[0] or 0
     solved = materialize(lattice(tail, pieces, first_byte, longest, n_tail), "pieces-solved")
-    back = (tail.select("row", "place", "k1", "k2").join(solved, ["k1", "k2"]).groupBy("row").agg(F.collect_list(F.struct("place", "ids")).alias("tail"))
+    back = (tail.select("row", "place", "key").join(solved, "key").groupBy("row").agg(F.collect_list(F.struct("place", "ids")).alias("tail"))
                 .select(F.col("row").alias("t_row"), "tail"))
     both = rows.select("row", "doc_id", "packed", "crc", "n_units").join(back, F.col("row") == F.col("t_row"), "left").select("doc_id", "packed", "crc", "n_units", "tail")
     return both.mapInArrow(_assemble(codes, raw), f"doc_id {kind}, n_units bigint, n_pieces bigint, ids array<int>, round_trip boolean")

@@ -588,3 +588,20 @@ def test_toxicity_training_keeps_little_memory(monkeypatch):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak / (400 * 300) < 100          # bytes per word; 149 with every text's features kept
+
+
+def test_pieces_keys_of_units(spark):
+    """A unit shorter than a hash is its own key; long ones, and texts that look like a key, are told apart."""
+    rows, _, first_byte, longest = pieces.vocabulary()
+    table = {p: (i, s) for p, i, s in rows}
+    known = spark.createDataFrame(rows, "piece string, id int, score double")
+    units = ["a", "ab" * 15 + "c", "é" * 15 + "c", "é" * 16, "0123456789ABCDEF" * 2, "é" * 16 + "d", "word" * 40]
+    keyed = pieces.keyed(spark.createDataFrame([(u,) for u in units * 3], "unit string"))
+    keys = {r.unit: r.key for r in keyed.collect()}
+    assert all((keys[u] == u) == (len(u.encode()) < pieces.KEY) for u in units)
+    assert len(set(keys.values())) == len(units) and all(len(k) == pieces.KEY for u, k in keys.items() if k != u)
+    # Shuffled without loss: one row per unit, whose ids are those of the whole unit.
+    again = pieces.keyed(spark.createDataFrame([(k,) for k in keys.values()], "unit string"))
+    got = {r.key: r.ids for r in pieces.lattice(keyed.union(again), known, first_byte, longest).collect()}
+    want = {r.key: plain_path(r.unit, table, first_byte, longest) for r in keyed.union(again).distinct().collect()}
+    assert got == want
