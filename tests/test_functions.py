@@ -1,5 +1,7 @@
 """Golden vectors for the column expressions."""
 
+import random
+import re
 import unicodedata
 
 import pytest
@@ -181,3 +183,32 @@ def test_a_record_is_parsed_once_for_all_field_types(spark):
     rows = spark.createDataFrame([(0, None, '{"url": "u"}')], "pos bigint, key string, raw string")
     plan = silver.typed_records(rows, silver.TEXT_A, ("status",))._jdf.queryExecution().analyzed().toString()
     assert plan.count("parse_json(") == 1
+
+
+def test_words_of_skills_against_their_patterns(spark):
+    """Skills looked up among a text's words are those whose pattern Python finds in it."""
+    rng = random.Random(5)
+    bits = [w for p in [p for _, p in skills.SKILLS] for w in [*skills.needles(p), *skills.words(p)]]
+    bits += ["google", "cloud", "powerbi", "power bi", "power  bi", "javascript", "statistique", "scikit-learn", "xsklearn", "langage naturels", "é", "k8s_", "#GCP", "#Power BI"]
+    ends = [" ", "", "-", "_", ",", "/", "\n", "é", "1", "\u0301", "#"]
+    texts = ["".join(rng.choice(bits) + rng.choice(ends) for _ in range(rng.randint(0, 6))) for _ in range(1500)] + ["\U0001d5bascala", "scala\U0001d5ba"]
+    got = [r.f for r in spark.createDataFrame(list(enumerate(texts)), "i int, v string").select("i", skills.found("v").alias("f")).orderBy("i").collect()]
+    want = [[label for label, p in skills.SKILLS if re.search(p, t)] for t in texts]
+    assert got == want and sum(map(len, got)) > 1000
+    # No search of the whole text per whole word of the dictionary.
+    plan = spark.createDataFrame([("a",)], "v string").select(skills.found("v").alias("f"))._jdf.queryExecution().analyzed().toString()
+    assert plan.lower().count("contains(") <= 12
+
+
+def test_silver_parses_amounts_and_feed_b_once(spark):
+    from offerlake.plans import silver
+    from offerlake.schemas import BRONZE_ROWS
+
+    a = spark.createDataFrame([(0, None, '{"url": "u", "salMin": "3000", "salMax": "3500", "salPer": "monthly"}')], BRONZE_ROWS)
+    out = silver.conform_a(a, "2026-06-10")
+    assert [(r.sal_min_eur, r.sal_max_eur) for r in out.collect()] == [(36000, 42000)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("bround(") == 2        # one for each bound
+    b = spark.createDataFrame([(i, str(i), f'{{"jk": "{i}", "salary": "{s}"}}') for i, s in enumerate(["30000 € par an", "selon profil", "3 € par an", ""])], BRONZE_ROWS)
+    offers, rejects = silver.conform_b(b, spark.createDataFrame([], "url string"), "2026-06-10")
+    assert offers.count() == 4 and {(r.offer_id, r.salary_raw) for r in rejects.collect()} == {("IND_1", "selon profil"), ("IND_2", "3 € par an")}
+    assert all("from_json" not in d._jdf.queryExecution().optimizedPlan().toString() for d in (offers, rejects))
