@@ -137,8 +137,10 @@ _MARTS = {
 
 def oracle_sql() -> dict[str, str]:
     body = {
-        "landed_records": """SELECT 'wttj' AS feed, pos, CAST(NULL AS VARCHAR) AS key, url FROM a1 UNION ALL
-            SELECT 'indeed', row_number() OVER (ORDER BY CAST(doc_id // 2000 AS VARCHAR) || '/', doc_id) - 1, 'd' || doc_id, 'https://fr.indeed.com/doc/' || doc_id FROM documents""",
+        "landed_records": f"""SELECT 'wttj' AS feed, pos, CAST(NULL AS VARCHAR) AS key, url FROM a1 UNION ALL
+            SELECT 'indeed', row_number() OVER (ORDER BY CAST(doc_id // 2000 AS VARCHAR) || '/', doc_id) - 1, 'd' || doc_id, 'https://fr.indeed.com/doc/' || doc_id FROM documents UNION ALL
+            SELECT 'cross_site', row_number() OVER (PARTITION BY doc_id // {D.RECORDS_PER_DOC} ORDER BY doc_id) - 1, 'https://fr.indeed.com/doc/' || doc_id, NULL
+            FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL""",
         "feed_samples": f"""SELECT * FROM (SELECT 'wttj' AS feed, pos, CAST(NULL AS VARCHAR) AS key, url FROM a1) WHERE pos < {RECORDS['wttj']} UNION ALL
             SELECT * FROM (SELECT 'indeed', row_number() OVER (ORDER BY CAST(doc_id // 2000 AS VARCHAR) || '/', doc_id) - 1 AS pos, 'd' || doc_id, 'https://fr.indeed.com/doc/' || doc_id FROM documents)
             WHERE pos < {RECORDS['indeed']}""",
