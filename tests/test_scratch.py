@@ -7,6 +7,7 @@ import random
 
 import pytest
 
+from offerlake.operators import similarity
 from offerlake.plans import derived_feeds, job
 from offerlake.session import ensure_checkpoint_dir, materialize, passing_scratch
 from offerlake.sources import bronze, documents, feeds
@@ -95,3 +96,62 @@ def test_records_are_not_shuffled_to_be_numbered(spark, tmp_path):
     write(tmp_path, "f.json", "{" + ",".join(f'"k{i}":{{"n":{i}}}' for i in range(200)) + "}")
     plan = feeds.read_feed(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "rangepartitioning" not in plan
+
+
+def test_twins_by_parts_and_without_scratch(spark, monkeypatch):
+    rnd = random.Random(3)
+    texts = []
+    for i in range(40):                                        # large sets of a small vocabulary, some with near copies
+        words = rnd.sample(range(3000), 1100 + 20 * i)
+        texts.append(words)
+        if i % 4 == 0:
+            texts.append(words[:-250] + rnd.sample(range(3000, 5000), 250))
+        if i % 4 == 1:
+            texts.append(words[:-300] + rnd.sample(range(3000, 5000), 300))
+    rows = [(i, " ".join(f"w{w}x" for w in t), f"c{i // 2}", f"l{i % 3}") for i, t in enumerate(texts)]
+
+    def twin(a, b):
+        x, y = set(a[1].split()), set(b[1].split())
+        j = len(x & y) / len(x | y)
+        return j >= 0.85 or j >= 0.6 and (a[2] == b[2] or a[3] == b[3])
+
+    want = {a[0] for a in rows if any(a is not b and twin(a, b) for b in rows)}
+    df = spark.createDataFrame(rows, "id int, title string, company string, city string")
+    whole, parts, pairs = similarity._by_parts, [], {}
+
+    def by_parts(found, weight, room, check, name):
+        out = whole(found, weight, 8_000, check, name)
+        pairs.setdefault(name, []).append((found.count(), out.count()))
+        return out
+
+    def counted(df, name, *more):
+        parts.append(name)
+        return materialize(df, name, *more)
+
+    monkeypatch.setattr(similarity, "_by_parts", by_parts)
+    monkeypatch.setattr(similarity, "materialize", counted)
+    before = scratch(spark)
+    got = similarity.find_twins(df, df, id_col="id", exclude_self=True)
+    assert {r.id for r in got.collect()} == want and 0 < len(want) < len(rows)
+    assert len(scratch(spark) - before) == 1                   # the result only
+    if pairs:
+        assert parts.count("twins-similar") > len(pairs["twins-similar"])
+
+
+def test_fine_bitmaps_never_lose_a_pair(spark):
+    rnd, rows = random.Random(8), []
+    for i, n in enumerate((1, 2, 15, 16, 17, 100, 255, 257, 900, 1500)):
+        x = [rnd.getrandbits(62) for _ in range(n)]
+        for k, cut in enumerate((0, n // 5, n // 4, n // 2)):
+            y = x[cut:] + [rnd.getrandbits(62) for _ in range(0 if k % 2 else cut)]
+            rows += [(1000 * i + k, x), (1000 * i + k + 500, y)]
+    sets = spark.createDataFrame(rows, "set_id bigint, hashes array<bigint>")
+    fine = {r.set_id: r.fine for r in similarity._fine_bitmaps(sets).collect()}
+    assert all(len(fine[i]) * 16 >= len(h) and len(fine[i]) & (len(fine[i]) - 1) == 0 for i, h in rows)
+    held = dict(rows)
+    ids = [(a, b) for a in held for b in held if a != b and len(fine[a]) <= 2 * len(fine[b]) and len(fine[b]) <= 2 * len(fine[a])]
+    pairs = spark.createDataFrame([(a, b, len(held[a]), len(held[b]), fine[a], fine[b]) for a, b in ids],
+                                  "a bigint, b bigint, size int, y_size int, x_fine array<bigint>, y_fine array<bigint>")
+    kept = {(r.a, r.b) for r in pairs.where(similarity._fine_allow(3, 5)).collect()}
+    similar = {(a, b) for a, b in ids if 5 * len(set(held[a]) & set(held[b])) >= 3 * len(set(held[a]) | set(held[b]))}
+    assert similar <= kept and len(kept) < len(ids) / 2
